@@ -6,7 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundmill.common import durable, norm_id, table
-from groundmill.llm import groups, mixing, tokenizer, vectors
+from groundmill.llm import groups, mixing, names, tokenizer, vectors
+
+
+def name_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every name of an actor row and of a record: ref is 'e:' and the entity or 'r:' and the record ('a:' where
+    the record already has an actor, which is evidence only)."""
+    claims = F.coalesce(F.from_json("metadata", "claims ARRAY<STRING>")["claims"], F.array().cast("array<string>"))
+    entities = table(spark, sf_dir, "codex_entities").filter("entity_type = 'actor'")
+    entities = entities.select(F.concat(F.lit("e:"), norm_id("entity_id")).alias("ref"), F.explode(F.array_union(F.array("canonical"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("name"), claims.alias("contexts"))
+    attached = F.coalesce(F.exists("entity_refs", lambda r: F.lower(F.trim(r["role"])) == "actor"), F.lit(False))
+    claim = F.regexp_extract("document", r"^([A-Za-z]+-\d+)", 1)
+    records = table(spark, sf_dir, "enrichment_records").filter("actor IS NOT NULL").select(F.concat(F.when(attached, "a:").otherwise("r:"), norm_id("record_id")).alias("ref"), F.col("actor").alias("name"), F.array(claim).alias("contexts"))
+    return entities.unionByName(records).filter("name IS NOT NULL").distinct()
+
+
+def p1_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ref, person) of actor rows and of records without actor reference."""
+    return names.link_names(name_mentions(spark, sf_dir)).filter(~F.col("ref").startswith("a:"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = durable(p1_links(spark, sf_dir).select(F.substring("ref", 1, 1).alias("kind"), F.expr("substring(ref, 3)").alias("key"), "person"))
+    entity = linked.filter("kind = 'e'").select(F.col("key").alias("x"), "person")
+    pairs = entity.join(linked.select(F.col("key").alias("y"), "kind", F.col("person").alias("of")), (F.col("person") == F.col("of")) & (F.col("x") != F.col("y")))
+    return pairs.select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).distinct()
 
 
 def p3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +94,7 @@ reach(x, y) AS (SELECT a, a FROM both_ways UNION SELECT r.x, w.b FROM reach r JO
 found AS (SELECT x AS record_id, min(y) AS group_id FROM reach GROUP BY x)
 """
 QUERIES = {
+    "p1_found": p1_found,
     "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p4_found": p4_found, "p4_sizes": p4_sizes, "p7_ids": p7_ids, "p7_counts": p7_counts, "p8_mix": p8_mix, "p8_shares": p8_shares,
 }
 ORACLES = {
