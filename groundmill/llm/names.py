@@ -81,8 +81,8 @@ def _tokens(text: str) -> list[str]:
 
 
 def is_business(words: list[str]) -> bool:
-    bare = {w.rstrip(".") for w in words}
-    return bool(bare & (LEGAL_FORMS | BUSINESS) - {"claims"}) or len({EXPANSIONS.get(w, w) for w in bare} & BUSINESS) > 1
+    bare = {x for w in words for x in EXPANSIONS.get(w.replace(".", ""), w.replace(".", "")).split()}
+    return bool(bare & (LEGAL_FORMS | BUSINESS) - {"claims"})
 
 
 def read_business(words: list[str]) -> tuple | None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundmill.common import durable, norm_id, table
-from groundmill.llm import groups, mixing, names, tokenizer, vectors
+from groundmill.llm import groups, mixing, names, pii, subjects, tokenizer, vectors
 
 
 def name_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +82,37 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sized_documents(spark, sf_dir), table(spark, sf_dir, "mix_targets"))[1]
 
 
+def found_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    models = subjects.train(docs, table(spark, sf_dir, "subject_labels"), table(spark, sf_dir, "subject_areas"))
+    return subjects.subject_areas(docs.select("doc_id", "text"), models)
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return found_subjects(spark, sf_dir).select("doc_id", F.explode("subjects").alias("subject"))
+
+
+def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and characters of the corpus by subject; a document of several counts for each."""
+    rows = found_subjects(spark, sf_dir).select(F.explode_outer("subjects").alias("subject"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
+    return rows.groupBy(F.coalesce("subject", F.lit("none")).alias("subject")).agg(F.count("*").alias("documents"), F.sum("chars").alias("chars"))
+
+
+def pii_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its items: fragments and evidence spans."""
+    fragments = table(spark, sf_dir, "fragments").select(F.lit("fragments").alias("source_table"), norm_id("chunk_id").alias("row_key"), "text")
+    records = table(spark, sf_dir, "enrichment_records").select(F.lit("enrichment_records").alias("source_table"), norm_id("record_id").alias("row_key"), F.col("evidence_span").alias("text"))
+    return pii.personal_items(fragments.unionByName(records), "text")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_rows(spark, sf_dir).select("source_table", "row_key", F.explode("items").alias("i")).select("source_table", "row_key", "i.*").distinct()
+
+
+def p6_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.redact(pii_rows(spark, sf_dir), "text").select("source_table", "row_key", "redacted").distinct()
+
+
 _N = r"regexp_replace(regexp_replace(lower({0}), '^[\s{{}}]+', ''), '[\s{{}}]+$', '')".format
 _P4 = f"""
 WITH RECURSIVE ids AS (SELECT DISTINCT {_N('record_id')} AS id FROM enrichment_records),
@@ -95,7 +126,7 @@ found AS (SELECT x AS record_id, min(y) AS group_id FROM reach GROUP BY x)
 """
 QUERIES = {
     "p1_found": p1_found,
-    "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p4_found": p4_found, "p4_sizes": p4_sizes, "p7_ids": p7_ids, "p7_counts": p7_counts, "p8_mix": p8_mix, "p8_shares": p8_shares,
+    "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p4_found": p4_found, "p4_sizes": p4_sizes, "p7_ids": p7_ids, "p7_counts": p7_counts, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_composition": p9_composition, "p6_found": p6_found, "p6_redacted": p6_redacted,
 }
 ORACLES = {
     "p4_found": _P4 + "SELECT * FROM found",
