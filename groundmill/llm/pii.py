@@ -189,7 +189,11 @@ _ROLES = (
 )
 _LEAD = re.compile(rf"(?:(?:{_ROLES})\b\.?[\s:,]+)+", re.I)
 _TRAIL = re.compile(r"(?:[\s,]+(?:RN|M\.?D|Ph\.?D|Esq|D\.?O|DDS|J\.?D|MBA|CPA|LPN|MSW|PsyD)\b\.?|\s*\([^)]*\)|['’]s)+$", re.I)
-_NAME_CHAR = re.compile(r"[\w'’.-]")
+_INITIALS_BEFORE = re.compile(r"(?<![\w.])(?<!\d )(?:[^\W\d_]\.[ ]?){1,2}[ ]?$")
+_GIVEN_BEFORE = re.compile(r"(?<![\w.])[A-ZÀ-Þ][^\W\d_]+[ ]{1,2}$")
+_INITIAL_AFTER = re.compile(r",?[ ]{1,2}[A-ZÀ-Þ](?=\.(?!\w))|(?:,[ ]{1,2}[A-ZÀ-Þ](?=\.[A-ZÀ-Þ]\.(?! ?(?:no|number)\b))\.[A-ZÀ-Þ])")
+_COMMA_GIVEN = re.compile(r",[ ]{1,2}[A-ZÀ-Þ][^\W\d_]{2,}(?=[\s,;:.'’])")
+_SENTENCE = re.compile(r"(?:(?<=[^\W\d_]{5})|\.)\.\s+")
 
 
 def exact_name(text: str, s: int, e: int) -> tuple[int, int] | None:
@@ -201,10 +205,18 @@ def exact_name(text: str, s: int, e: int) -> tuple[int, int] | None:
         e += 1
     while s < e and not (text[s].isalnum() or text[s] in "\"“"):
         s += 1
-    if m := re.search(r"(?:(?<![\w.])[^\W\d_](?:\.[^\W\d_])?\.[ ]{0,2})+$", text[max(0, s - 12) : s]):  # initials before
-        s -= len(m[0])
+    if m := _INITIALS_BEFORE.search(text, max(0, s - 12), s):
+        s = m.start()
+        if (m := _GIVEN_BEFORE.search(text, max(0, s - 20), s)) and not _LEAD.fullmatch(m[0]):
+            s = m.start()
     if m := _LEAD.match(text, s, e):
         s = m.end()
+    if s < e and text[s] in "\"“" and (m := _GIVEN_BEFORE.search(text, max(0, s - 20), s)) and not _LEAD.fullmatch(m[0]):
+        s = m.start()
+    if s < e and text[s:e].isalpha() and (m := _COMMA_GIVEN.match(text, e)) and not _LEAD.match(text[e:].lstrip(", ")) and not _TRAIL.fullmatch(m[0]):
+        e = m.end()
+    if m := _INITIAL_AFTER.match(text, e):
+        e = m.end()
     if m := re.match(r"[\s,]+(?:Jr|Sr|JR|SR|jr|sr|II|III|IV)\b", text[e:]):
         e += m.end()
     if m := _TRAIL.search(text[s:e]):
@@ -217,17 +229,28 @@ def exact_name(text: str, s: int, e: int) -> tuple[int, int] | None:
     return (s, e) if sum(c.isalpha() for c in text[s:e]) > 2 else None
 
 
+def _sentences(text: str, s: int, e: int) -> Iterator[tuple[int, int]]:
+    """Parts of a span that ran over the end of a sentence."""
+    for m in _SENTENCE.finditer(text, s, e):
+        yield s, m.start()
+        s = m.end()
+    yield s, e
+
+
 def exact_spans(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     out: list[tuple[str, int, int]] = []
     done: dict[str, list] = {}
     for kind, s, e in spans:
         if kind == "name":
-            got = exact_name(text, s, e)
-        else:
-            if kind not in done:
-                done[kind] = [m.span() for m in PATTERNS[kind].finditer(text)]
-            over = [(min(b, e) - max(a, s), a, b) for a, b in done[kind] if a < e and s < b]
-            got = max(over)[1:] if over else None
+            for a, b in _sentences(text, s, e):
+                got = exact_name(text, a, b)
+                if got and not any(got[0] < y and x < got[1] for _, x, y in out):
+                    out.append((kind, *got))
+            continue
+        if kind not in done:
+            done[kind] = [m.span() for m in PATTERNS[kind].finditer(text)]
+        over = [(min(b, e) - max(a, s), a, b) for a, b in done[kind] if a < e and s < b]
+        got = max(over)[1:] if over else None
         if got and not any(got[0] < b and a < got[1] for _, a, b in out):
             out.append((kind, *got))
     return out
