@@ -100,25 +100,29 @@ class Tagger:
         return total
 
     def viterbi(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """(T, B) best tags of scores (T, B, K); texts sorted by falling length."""
-        t_len, b, k = scores.shape
-        back = np.zeros((t_len, b, k), np.int8)
-        best = self.start + scores[0]
+        """(T, B) best tags of scores (T, K, B); texts sorted by falling length."""
+        t_len, k, b = scores.shape
+        back = np.zeros((t_len, k, b), np.int8)
+        best = self.start[:, None] + scores[0]
         live = np.searchsorted(-lengths, -np.arange(t_len), side="left")  # texts longer than t
-        trans = self.trans.T.copy()
+        m, c, more = np.empty((k, b), np.float32), np.empty((k, b), np.float32), np.empty((k, b), bool)
         for t in range(1, t_len):
             n = live[t]
-            cand = best[:n, None, :] + trans
-            arg = cand.argmax(2)
-            back[t, :n] = arg
-            best[:n] = np.take_along_axis(cand, arg[:, :, None], 2)[:, :, 0] + scores[t, :n]
+            mm, cc, gg, bb = m[:, :n], c[:, :n], more[:, :n], back[t, :, :n]
+            np.add(best[0, :n], self.trans[0][:, None], out=mm)
+            for p in range(1, k):
+                np.add(best[p, :n], self.trans[p][:, None], out=cc)
+                np.greater(cc, mm, out=gg)
+                np.copyto(bb, p, where=gg)
+                np.maximum(mm, cc, out=mm)
+            np.add(mm, scores[t, :, :n], out=best[:, :n])
         tags = np.zeros((t_len, b), np.int8)
-        last = best.argmax(1)
+        last, rows = best.argmax(0), np.arange(b)
         for t in range(t_len - 1, -1, -1):
             n = live[t]
             tags[t, :n] = last[:n]
             if t:
-                last[:n] = back[t, np.arange(n), last[:n]]
+                last[:n] = back[t, last[:n], rows[:n]]
         return tags
 
     def tag(self, texts: list[str]) -> list[np.ndarray]:
@@ -126,34 +130,34 @@ class Tagger:
         classes = [char_classes(t) for t in texts]
         windows = [(i, s) for i, c in enumerate(classes) for s in range(0, max(1, len(c) - OVERLAP), WINDOW - OVERLAP)]
         windows.sort(key=lambda w: -min(WINDOW, len(classes[w[0]]) - w[1]))
-        total = [np.zeros((len(c), len(TAGS)), np.float32) for c in classes]
+        total = [np.zeros((len(c) if len(c) > WINDOW else 0, len(TAGS)), np.float32) for c in classes]
         ramp = np.minimum(np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)), OVERLAP).astype(np.float32)
-        mass = [np.zeros(len(c), np.float32) for c in classes]
+        mass: list[np.ndarray | None] = [np.zeros(len(c), np.float32) for c in classes]
         for at in range(0, len(windows), BATCH_WINDOWS):
             part = windows[at : at + BATCH_WINDOWS]
             pieces = [classes[i][s : s + WINDOW] for i, s in part]
             x = np.zeros((max(map(len, pieces)), len(part)), np.uint8)
             for j, p in enumerate(pieces):
                 x[: len(p), j] = p
-            scored = self.scores(x)
+            scored = np.ascontiguousarray(self.scores(x).transpose(1, 0, 2))
             for j, ((i, s), p) in enumerate(zip(part, pieces, strict=True)):
                 n = len(p)
                 if len(classes[i]) <= WINDOW:
-                    total[i], mass[i][:] = scored[:n, j], 1
+                    total[i], mass[i] = scored[j, :n], None
                 else:
-                    total[i][s : s + n] += scored[:n, j] * ramp[:n, None]
+                    total[i][s : s + n] += scored[j, :n] * ramp[:n, None]
                     mass[i][s : s + n] += ramp[:n]
         out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(texts)
         order = sorted((i for i in range(len(texts)) if len(classes[i])), key=lambda i: -len(classes[i]))
         at = 0
         while at < len(order):
             longest = len(classes[order[at]])
-            group = order[at : at + max(1, min(256, 400_000 // longest))]
+            group = order[at : at + max(1, min(1024, 800_000 // longest))]
             lengths = np.array([len(classes[i]) for i in group])
-            s = np.zeros((longest, len(group), len(TAGS)), np.float32)
+            s = np.zeros((len(group), longest, len(TAGS)), np.float32)
             for j, i in enumerate(group):
-                s[: lengths[j], j] = total[i] / mass[i][:, None]
-            tags = self.viterbi(s, lengths)
+                s[j, : lengths[j]] = total[i] if mass[i] is None else total[i] / mass[i][:, None]
+            tags = self.viterbi(np.ascontiguousarray(s.transpose(1, 2, 0)), lengths)
             for j, i in enumerate(group):
                 out[i] = tags[: lengths[j], j]
             at += len(group)
@@ -164,9 +168,10 @@ def spans_of(tags: np.ndarray) -> list[tuple[str, int, int]]:
     """(kind, start, end) of runs of tags."""
     if not tags.any():
         return []
-    starts = np.flatnonzero(np.append(True, tags[1:] != tags[:-1]))
-    ends = np.append(starts[1:], len(tags))
-    return [(KINDS[tags[a] - 1], int(a), int(b)) for a, b in zip(starts, ends, strict=True) if tags[a]]
+    cut = (np.flatnonzero(tags[1:] != tags[:-1]) + 1).tolist()
+    starts = [0, *cut]
+    kinds = tags[starts].tolist()
+    return [(KINDS[k - 1], a, b) for k, a, b in zip(kinds, starts, [*cut, len(tags)], strict=True) if k]
 
 
 _AT, _DOT = r"(?:\s?@\s?|\s?[\[(]at[\])]\s?)", r"(?:\.|\s?[\[(]dot[\])]\s?)"
@@ -294,7 +299,7 @@ def personal_items(rows: DataFrame, text: str, items: str = "items", path: str =
         for s in series:
             yield pd.Series([[{"pii_type": k, "char_start": a, "char_end": b} for k, a, b in sorted(x, key=lambda y: y[1])] for x in find_items(s.tolist(), path)], dtype=object)
 
-    return rows.withColumn(items, F.pandas_udf(run, ITEMS)(F.col(text)))
+    return rows.withColumn(items, F.pandas_udf(run, ITEMS).asNondeterministic()(F.col(text)))
 
 
 def redact(rows: DataFrame, text: str, items: str = "items", into: str = "redacted") -> DataFrame:
