@@ -86,7 +86,7 @@ def page_range(name: Column | str) -> Column:
 
 def is_uuid(x: Column | str) -> Column:
     """Any common spelling: dashes, braces and urn:uuid: are optional, letters of any case."""
-    bare = F.replace(F.regexp_replace(F.lower(_col(x)), r"^(?:urn:)?(?:uuid:)?|[{}]", ""), F.lit("-"), F.lit(""))
+    bare = F.replace(F.regexp_replace(F.lower(_col(x)), r"^urn:(?:uuid:)?|^uuid:|[{}]", ""), F.lit("-"), F.lit(""))
     return F.coalesce(bare.rlike("^[0-9a-f]{32}$"), F.lit(False))
 
 

@@ -181,7 +181,7 @@ def _em(counts: pd.DataFrame) -> pd.DataFrame:
     posterior of month-first for each row and the weights of the formats at the end.
 
     Formats are the shapes, with month-first and day-first forms of each slashed shape; the order is
-    shared by the slashed shapes of a source through a Dirichlet of pseudo-count one."""
+    shared by the slashed shapes of a source through a Dirichlet of pseudo-count one half."""
     n = counts["n"].to_numpy(float)
     mdy, dmy = counts["mdy"].to_numpy(bool), counts["dmy"].to_numpy(bool)
     declared = counts["declared"].iloc[0]
@@ -193,7 +193,7 @@ def _em(counts: pd.DataFrame) -> pd.DataFrame:
         total = like.sum(0)
         post = np.divide(like[0], total, out=np.zeros(len(n)), where=total > 0)
         seen = total > 0
-        grown = np.array([(n * post)[seen].sum(), (n * (1 - post))[seen].sum()]) + 1.0
+        grown = np.array([(n * post)[seen].sum(), (n * (1 - post))[seen].sum()]) + 0.5
         new = grown * (prior > 0)
         new /= new.sum()
         if abs(new - theta).max() < 1e-12:
