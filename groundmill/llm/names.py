@@ -15,6 +15,7 @@ length is read whole; repeated rows count once; empty tables give an empty resul
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -183,6 +184,25 @@ def edit_distance(a: list[str] | np.ndarray, b: list[str] | np.ndarray, most: in
     return np.minimum(out, big)
 
 
+@functools.lru_cache(100_000)
+def near_words(a: str, b: str, most: int) -> bool:
+    """The same distance for one pair of words; words recur, so answers are kept."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    before, row = [], list(range(len(b) + 1))
+    for i in range(1, len(a) + 1):
+        new = [i] * (len(b) + 1)
+        for j in range(1, len(b) + 1):
+            best = min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                best = min(best, before[j - 2] + 1)
+            new[j] = best
+        if min(new) > most and min(row) > most:
+            return False
+        before, row = row, new
+    return row[-1] <= most
+
+
 def tolerance(length: int) -> int:
     return 0 if length < 4 else 1 if length < 8 else 2
 
@@ -252,9 +272,10 @@ def same_given(a: str, b: str, known: dict[str, int]) -> bool:
         return True
     if a in known and b in known or min(len(a), len(b)) < 4:
         return False
-    return int(edit_distance([a], [b], 2)[0]) <= (1 if min(len(a), len(b)) < 6 else 2)
+    return near_words(a, b, 1 if min(len(a), len(b)) < 6 else 2)
 
 
+@functools.lru_cache(100_000)
 def same_rest(a: str, b: str) -> bool:
     """Kinds of business, word by word: equal, shortened or misspelt; one may leave out a word of many."""
     x, y = a.split(), b.split()
@@ -262,7 +283,7 @@ def same_rest(a: str, b: str) -> bool:
         return True
     if not x or not y or abs(len(x) - len(y)) > 1:
         return False
-    near = lambda u, v: u == v or len(min(u, v, key=len)) >= 3 and (u.startswith(v) or v.startswith(u)) or min(len(u), len(v)) >= 4 and int(edit_distance([u], [v], 2)[0]) <= 2
+    near = lambda u, v: u == v or len(min(u, v, key=len)) >= 3 and (u.startswith(v) or v.startswith(u)) or min(len(u), len(v)) >= 4 and near_words(u, v, 2)
     small, large = sorted((x, y), key=len)
     left = large.copy()
     for u in small:
