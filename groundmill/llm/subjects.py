@@ -236,4 +236,4 @@ def subject_areas(docs: DataFrame, models: Models, text: str = "text", into: str
         for s in series:
             yield pd.Series(shared.value.subjects_of(s.tolist()), dtype=object)
 
-    return docs.withColumn(into, F.pandas_udf(run, "array<string>")(F.col(text)))
+    return docs.withColumn(into, F.pandas_udf(run, "array<string>").asNondeterministic()(F.col(text)))
