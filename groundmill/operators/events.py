@@ -23,14 +23,17 @@ def is_same_event(relation: str = "relation"):
 
 def components(pairs: DataFrame) -> DataFrame:
     """(record_id, component) of pairs (a, b): every round a record takes the smallest label among itself and its
-    neighbours and the label of that label."""
+    neighbours, the smallest that any record of its old label found, and that of its new label. So labels merge as
+    trees do, in some log n rounds."""
     edges = durable(pairs.filter("a <> b").select("a", "b").union(pairs.filter("a <> b").select("b", "a")).distinct())
     label = durable(edges.groupBy(F.col("a").alias("record_id")).agg(F.least(F.min("b"), F.col("record_id")).alias("component")))
     for _ in range(MAX_ROUNDS):
         near = edges.join(label.withColumnsRenamed({"record_id": "b", "component": "c"}), "b").groupBy("a").agg(F.min("c").alias("c"))
-        best = label.join(near, F.col("record_id") == F.col("a")).select("record_id", F.col("component").alias("old"), F.least("component", "c").alias("m"))
-        jump = label.select(F.col("record_id").alias("j"), F.col("component").alias("to"))
-        new = durable(best.join(jump, F.col("m") == F.col("j"), "left").select("record_id", "old", F.least("m", F.coalesce("to", "m")).alias("component")))
+        best = durable(label.join(near, F.col("record_id") == F.col("a")).select("record_id", F.col("component").alias("old"), F.least("component", "c").alias("m")))
+        hook = best.groupBy(F.col("old").alias("root")).agg(F.min("m").alias("to"))
+        mine, next_ = hook.withColumnsRenamed({"root": "r1", "to": "t1"}), hook.withColumnsRenamed({"root": "r2", "to": "t2"})
+        joined = best.join(mine, F.col("old") == F.col("r1")).join(next_, F.col("m") == F.col("r2"), "left")
+        new = durable(joined.select("record_id", "old", F.least("m", "t1", F.coalesce("t2", "m")).alias("component")))
         moved = new.filter("component <> old").limit(1).count()
         label = new.drop("old")
         if not moved:

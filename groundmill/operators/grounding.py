@@ -21,8 +21,8 @@ CODE_OWNED = ("evidence_span", "provenance_validation", "page", "document", "fla
 def fail(df: DataFrame, bad: Column, code: str, detail: Column | str = "") -> DataFrame:
     """Sets the reason of rows that have none yet."""
     d = F.lit(detail) if isinstance(detail, str) else detail
-    now = F.col("reason_code").isNull() & F.coalesce(bad, F.lit(False))
-    return df.withColumns({"reason_code": F.when(now, F.lit(code)).otherwise(F.col("reason_code")), "detail": F.when(now, d).otherwise(F.col("detail"))})
+    # each column refers to itself once: a longer cascade would else double the plan at every stage
+    return df.withColumns({"reason_code": F.coalesce("reason_code", F.when(bad, F.lit(code))), "detail": F.coalesce("detail", F.when(bad, F.coalesce(d, F.lit(""))))})
 
 
 def begin(df: DataFrame) -> DataFrame:
