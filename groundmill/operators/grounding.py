@@ -116,6 +116,7 @@ def claim(actor: Column, date: Column, fields: Column, relevance: Column, tier:
 def judged(df: DataFrame, judge) -> DataFrame:
     """Rows without a reason get ``verdict``, ``failing_values`` and ``judge_reason`` of ``judge``, a function from
     DataFrame to DataFrame; written once (see the module's head)."""
+    df = durable(df)  # else the filter below would repeat every stage before it for either branch
     alive = durable(judge(df.filter("reason_code IS NULL")))
     rest = df.filter("reason_code IS NOT NULL")
     for c, t in (("verdict", "string"), ("failing_values", "array<string>"), ("judge_reason", "string")):
