@@ -30,7 +30,8 @@ def components(pairs: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         near = edges.join(label.withColumnsRenamed({"record_id": "b", "component": "c"}), "b").groupBy("a").agg(F.min("c").alias("c"))
         best = durable(label.join(near, F.col("record_id") == F.col("a")).select("record_id", F.col("component").alias("old"), F.least("component", "c").alias("m")))
-        hook = best.groupBy(F.col("old").alias("root")).agg(F.min("m").alias("to"))
+        # of a root both what it found itself and what the records with its label found: doubling and merging
+        hook = best.select(F.col("old").alias("root"), "m").unionByName(best.select(F.col("record_id").alias("root"), "m")).groupBy("root").agg(F.min("m").alias("to"))
         mine, next_ = hook.withColumnsRenamed({"root": "r1", "to": "t1"}), hook.withColumnsRenamed({"root": "r2", "to": "t2"})
         joined = best.join(mine, F.col("old") == F.col("r1")).join(next_, F.col("m") == F.col("r2"), "left")
         new = durable(joined.select("record_id", "old", F.least("m", "t1", F.coalesce("t2", "m")).alias("component")))
