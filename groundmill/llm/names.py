@@ -266,13 +266,14 @@ def _formals(given: str) -> set[str]:
     return {given} | _FORMAL.get(given, set())
 
 
-def same_given(a: str, b: str, known: dict[str, int]) -> bool:
-    """Full given names: equal, a nickname of the other, or a misspelling (not two names that both exist)."""
+def same_given(a: str, b: str, known: dict[str, int], most: int = 2) -> bool:
+    """Full given names: equal, a nickname of the other, or a misspelling of at most ``most`` edits (not two names that
+    both exist)."""
     if a == b or _formals(a) & _formals(b):
         return True
     if a in known and b in known or min(len(a), len(b)) < 4:
         return False
-    return near_words(a, b, 1 if min(len(a), len(b)) < 6 else 2)
+    return near_words(a, b, 1 if min(len(a), len(b)) < 6 else most)
 
 
 @functools.lru_cache(100_000)
@@ -304,7 +305,8 @@ def relation(p: dict, q: dict, dist: int, known: dict[str, int]) -> str | None:
         return None
     full_p, full_q = p["gtype"] == "full", q["gtype"] == "full"
     if full_p and full_q:
-        if not (same_given(p["given"], q["given"], known) if dist == 0 else bool(_formals(p["given"]) & _formals(q["given"]))):
+        # beside a misspelt surname the given name may have one slip
+        if not same_given(p["given"], q["given"], known, 2 if dist == 0 else 1):
             return None
         return "same" if p["gen"] == q["gen"] else "stands" if not p["gen"] else "stood"
     if not p["given"] or not q["given"]:
@@ -401,7 +403,12 @@ def link_names(mentions: DataFrame) -> DataFrame:
     short = stands.select("x").distinct()
     vague = related.filter("how = 'vague'").select("x", "y")
     vague = vague.join(short, "x", "left_anti").join(short.withColumnRenamed("x", "y"), "y", "left_anti")
-    edges = related.filter("how = 'same'").select("x", "y").unionByName(declared).unionByName(vague)
+    # a short name of a reference vouches for the surname: its full name is that of whom the short one stands for, if the rest agrees
+    part = lambda s: nodes.select(F.col("node").alias(f"{s}_node"), *[F.col(c).alias(f"{s}_{c}") for c in ("kind", "given", "gtype", "middle", "gen", "rest")])
+    other_names = parsed.filter(~full).select("ref", F.col("node").alias("x")).join(parsed.filter(full).select("ref", F.col("node").alias("p_node")), "ref").select("x", "p_node").distinct()
+    vouched = other_names.join(stands.withColumnRenamed("y", "q_node"), "x").filter("p_node <> q_node").select("p_node", "q_node").distinct()
+    vouched = vouched.join(part("p"), "p_node").join(part("q"), "q_node").withColumn("dist", F.lit(0)).mapInPandas(relate, "x string, y string, how string, dist int").filter("how = 'same'").select("x", "y")
+    edges = related.filter("how = 'same'").select("x", "y").unionByName(declared).unionByName(vouched).unionByName(vague)
     grouped = connected_groups(edges, "x", "y")
     person = durable(nodes.select("node").join(grouped.withColumnRenamed("vertex", "node"), "node", "left").select("node", F.coalesce("group", "node").alias("person")))
     may = stands.join(person.select(F.col("node").alias("y"), "person"), "y").select(F.col("x").alias("node"), "person").distinct()

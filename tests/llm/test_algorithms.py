@@ -200,3 +200,12 @@ def test_short_name_by_context(spark):
     rows = [("e:1", "Patricia Hollowmere", ["A"]), ("e:2", "Philippa Hollowmere", ["B"]), ("r:3", "P. Hollowmere", ["B"]), ("r:4", "P. Hollowmere", ["C"])]
     got = {r["ref"]: r["person"] for r in names.link_names(spark.createDataFrame(rows, "ref string, name string, contexts array<string>")).collect()}
     assert got["r:3"] == got["e:2"] and "r:4" not in got
+
+
+def test_one_slip_in_each_part(spark):
+    first = [(f"a:{i}", f"{g} Filler{string.ascii_lowercase[i]}wood", ["Z"], None) for i, g in enumerate(["Dorothy", "Richard", "Theodore", "Theodora"] * 6)]
+    rows = [("e:1", "Doroothy Cravibovale", ["A"]), ("r:2", "Craviboivale, Dorothy", ["B"]), ("e:3", "Theodore Quimblestone", ["A"]), ("e:4", "Theodora Quimblestome", ["A"]), ("e:5", "Richhard Tarnennthwaite", ["A"])]
+    rows += [("e:6", "Richard Tarmebnthwaiteu", ["A"]), ("e:6", "Rich. Tarnennthwaite", ["A"]), ("e:7", "Theodora Tarmebnthwaiteux", ["A"]), ("e:7", "R. Tarnennthwaite", ["A"])]
+    got = {r["ref"]: r["person"] for r in names.link_names(spark.createDataFrame(rows + [r[:3] for r in first], "ref string, name string, contexts array<string>")).collect()}
+    assert got["e:1"] == got["r:2"] and got["e:3"] != got["e:4"]  # one slip in each part; two known given names
+    assert got["e:5"] == got["e:6"] and got["e:5"] != got["e:7"]  # the short name vouches for the surname, not for the given name
