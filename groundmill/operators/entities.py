@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from groundmill.common import durable, norm_id
 from groundmill.functions.text import normalize_actor, strip
+from groundmill.sources import corpus
 
 ENTITY_TYPES = ("actor", "date", "code", "provision", "document", "event")
 
@@ -69,6 +70,31 @@ def candidate_pairs(edges: DataFrame, fan_out: int = 20) -> DataFrame:
     return ahead.join(n.withColumnRenamed("record_id", "record_b"), ["entity_id", "n"]).groupBy("record_a", "record_b").agg(F.count("*").alias("shared"))
 
 
+def fan_out_cut(edges: DataFrame, fan_out: int = 20) -> DataFrame:
+    """What the cap of ``candidate_pairs`` leaves out: (entity_id, records, pairs, cut) of each entity that is no theme."""
+    w = weights(edges).filter("NOT is_theme").select("entity_id")
+    n = edges.join(w, "entity_id", "left_semi").groupBy("entity_id").agg(F.count_distinct("record_id").alias("records"))
+    pairs = F.expr("records * (records - 1) div 2")
+    beyond = F.expr(f"(greatest(records - {fan_out}, 1L) - 1) * (greatest(records - {fan_out}, 1L)) div 2")
+    return n.select("entity_id", "records", pairs.alias("pairs"), beyond.alias("cut"))
+
+
+def document_adjacent(records: DataFrame, frags: DataFrame, window: int = 1) -> DataFrame:
+    """Pairs of records of fragments of one document within ``window`` places, those of the same fragment included. Records
+    whose fragment is unknown have no place. Not capped: fragments hold few records."""
+    r = records.select(norm_id("record_id").alias("record_id"), norm_id("source_chunk_id").alias("chunk_id")).distinct()
+    near = corpus.neighbours(r.select("chunk_id"), frags, window).select("anchor_id", "chunk_id")
+    a, b = r.withColumnsRenamed({"record_id": "record_a", "chunk_id": "anchor_id"}), r.withColumnRenamed("record_id", "record_b")
+    return a.join(near, "anchor_id").join(b, "chunk_id").filter("record_a < record_b").select("record_a", "record_b").distinct()
+
+
+def candidates(records: DataFrame, frags: DataFrame, fan_out: int = 20, window: int = 1) -> DataFrame:
+    """(record_a, record_b, shared, adjacent): the pairs of ``candidate_pairs`` and of ``document_adjacent``, each once."""
+    shared = candidate_pairs(reference_edges(records), fan_out).withColumn("adjacent", F.lit(False))
+    near = document_adjacent(records, frags, window).withColumns({"shared": F.lit(0).cast("bigint"), "adjacent": F.lit(True)})
+    return shared.unionByName(near).groupBy("record_a", "record_b").agg(F.sum("shared").alias("shared"), F.bool_or("adjacent").alias("adjacent"))
+
+
 def walk(start: DataFrame, edges: DataFrame, links: DataFrame, steps: int = 2) -> DataFrame:
     """Records reached from ``start`` (record_id) over links in either direction within ``steps``; each with the fewest
     steps. ``edges`` limits the walk to records that have references."""

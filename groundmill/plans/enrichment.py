@@ -269,6 +269,25 @@ def candidate_pairs(spark, d):
     return entities.candidate_pairs(entities.reference_edges(_records(spark, d)))
 
 
+_SHARED = f"""{_EDGES}, n AS (SELECT count(DISTINCT chunk_id) AS c FROM e), w AS (SELECT entity_id FROM e, n GROUP BY 1 HAVING count(DISTINCT chunk_id) < greatest(2, ceil(any_value(c) * 0.05))),
+k AS (SELECT record_id, entity_id, row_number() OVER (PARTITION BY entity_id ORDER BY record_id) AS n FROM (SELECT DISTINCT record_id, entity_id FROM e WHERE entity_id IN (SELECT entity_id FROM w)))"""
+
+
+@query("candidate_pairs_whole", f"""WITH {_SHARED}, {_FRAG}, r AS (SELECT DISTINCT {_N('record_id')} AS record_id, {_N('source_chunk_id')} AS chunk_id FROM enrichment_records), p AS (SELECT record_id, document, segment_index FROM r JOIN frag USING (chunk_id)),
+u AS (SELECT a.record_id AS record_a, b.record_id AS record_b, 1 AS s, false AS near FROM k a JOIN k b ON a.entity_id = b.entity_id AND b.n BETWEEN a.n + 1 AND a.n + 20
+ UNION ALL SELECT DISTINCT a.record_id, b.record_id, 0, true FROM p a JOIN p b ON a.document = b.document AND abs(a.segment_index - b.segment_index) <= 1 AND a.record_id < b.record_id)
+SELECT record_a, record_b, sum(s)::BIGINT AS shared, bool_or(near) AS adjacent FROM u GROUP BY ALL""")
+def candidate_pairs_whole(spark, d):
+    return entities.candidates(_records(spark, d), _fragments(spark, d))
+
+
+@query("candidate_fan_out", f"""WITH {_SHARED}, f AS (SELECT entity_id, count(*) AS records, count(*) * (count(*) - 1) // 2 AS pairs FROM k GROUP BY 1),
+g AS (SELECT a.entity_id, count(*) AS kept FROM k a JOIN k b ON a.entity_id = b.entity_id AND b.n BETWEEN a.n + 1 AND a.n + 20 GROUP BY 1)
+SELECT entity_id, records, pairs, pairs - coalesce(kept, 0) AS cut FROM f LEFT JOIN g USING (entity_id)""")
+def candidate_fan_out(spark, d):
+    return entities.fan_out_cut(entities.reference_edges(_records(spark, d)))
+
+
 @query("current_records", f"SELECT DISTINCT {_N('record_id')} AS record_id FROM enrichment_records WHERE {_N('record_id')} NOT IN (SELECT {_N('supersedes')} FROM enrichment_records WHERE supersedes IS NOT NULL)")
 def current_records(spark, d):
     return sinks.current(_records(spark, d)).select(norm_id("record_id").alias("record_id"))

@@ -193,3 +193,16 @@ def test_rank(spark):
     rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [2.0, 0.0])], "id int, v array<float>")
     got = scoring.rank_by_cosine(rows, "id", "v", F.col("id") == 1, k=2).collect()
     assert [(r["id"], r["rank"]) for r in got] == [(1, 1), (3, 2)] and isinstance(got, list) and pd is not None
+
+
+REFS = "record_id string, source_chunk_id string, entity_refs array<struct<role:string,entity_id:string,entity_type:string,canonical:string>>"
+
+
+def test_candidates_of_neighbouring_segments(spark, frags):
+    e = lambda *ids: [("actor", i, "actor", i) for i in ids]
+    records = spark.createDataFrame([("r1", IDS[0], None), ("R2", IDS[1], e("x")), ("r3", IDS[2], []), ("r4", IDS[3], e("x")), ("r5", IDS[1], None), ("r6", IDS[5], None)], REFS)
+    got = {(r["record_a"], r["record_b"]): (r["shared"], r["adjacent"]) for r in entities.candidates(records.union(records), frags).collect()}
+    assert got == {p: (0, True) for p in (("r1", "r2"), ("r1", "r5"), ("r2", "r3"), ("r3", "r5"), ("r2", "r5"))}  # x is a theme of so few fragments
+    edges = spark.createDataFrame([(f"r{i:02}", f"c{i % 2}", "x") for i in range(25)] + [(f"s{i}", f"d{i}", "y") for i in range(60)], "record_id string, chunk_id string, entity_id string")
+    assert {tuple(r) for r in entities.fan_out_cut(edges, 20).collect()} == {("x", 25, 300, 10)}
+    assert entities.candidate_pairs(edges, 20).count() == 290
