@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,14 +97,25 @@ def candidates(records: DataFrame, frags: DataFrame, fan_out: int = 20, window:
     return shared.unionByName(near).groupBy("record_a", "record_b").agg(F.sum("shared").alias("shared"), F.bool_or("adjacent").alias("adjacent"))
 
 
-def walk(start: DataFrame, edges: DataFrame, links: DataFrame, steps: int = 2) -> DataFrame:
-    """Records reached from ``start`` (record_id) over links in either direction within ``steps``; each with the fewest
-    steps. ``edges`` limits the walk to records that have references."""
+def walk(start: DataFrame, edges: DataFrame, links: DataFrame, records: DataFrame, steps: int = 2) -> DataFrame:
+    """(record_id, steps): chunk -> entities -> records -> links -> records. ``start`` has any of chunk_id, entity_id and
+    record_id. Step 0 has the given records and those that refer to a given entity or to one of a given chunk
+    (``edges``); from there links are followed in either direction up to ``steps``. Only ``records`` that exist are reached,
+    each with the fewest steps."""
+    seed = lambda c: start.select(norm_id(c).alias(c)).dropna().distinct() if c in start.columns else None
+    chunks, nouns, given = (seed(c) for c in ("chunk_id", "entity_id", "record_id"))
+    named = [nouns] if nouns is not None else []
+    if chunks is not None:
+        named.append(edges.join(chunks, "chunk_id", "left_semi").select("entity_id"))
+    first = [given] if given is not None else []
+    if named:
+        first.append(edges.join(reduce(DataFrame.union, named).distinct(), "entity_id", "left_semi").select("record_id"))
+    if not first:
+        raise ValueError("start must have chunk_id, entity_id or record_id")
+    known = records.select(norm_id("record_id").alias("record_id")).distinct()
     pairs = links.select(norm_id("record_a").alias("x"), norm_id("record_b").alias("y")).filter("x <> y")
     pairs = durable(pairs.union(pairs.select("y", "x")).distinct())
-    known = edges.select("record_id").distinct()
-    seen = start.select(norm_id("record_id").alias("record_id")).distinct().withColumn("steps", F.lit(0))
-    front = seen
+    seen = front = durable(reduce(DataFrame.union, first).distinct().join(known, "record_id", "left_semi").withColumn("steps", F.lit(0)))
     for step in range(1, steps + 1):
         front = durable(front.join(pairs, F.col("record_id") == F.col("x")).select(F.col("y").alias("record_id")).distinct().join(known, "record_id", "left_semi").join(seen, "record_id", "left_anti").withColumn("steps", F.lit(step)))
         seen = seen.unionByName(front)

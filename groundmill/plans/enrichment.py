@@ -350,11 +350,19 @@ def event_lookup(spark, d):
     return e.select(norm_id("entity_id").alias("entity_id"), F.explode(F.from_json("metadata", "member_records array<string>")["member_records"]).alias("m")).select("entity_id", norm_id("m").alias("record_id")).distinct()
 
 
-@query("linked_walk")
+@query("linked_walk", f"""WITH {_EDGES}, r AS (SELECT DISTINCT {_N('record_id')} AS record_id, {_N('source_chunk_id')} AS chunk_id, flagged, evidence_span FROM enrichment_records), s AS (SELECT record_id, chunk_id FROM r WHERE flagged),
+p AS (SELECT {_N('record_a')} AS x, {_N('record_b')} AS y FROM enrichment_links UNION SELECT {_N('record_b')}, {_N('record_a')} FROM enrichment_links),
+w0 AS (SELECT record_id FROM s UNION SELECT record_id FROM e WHERE entity_id IN (SELECT entity_id FROM e WHERE chunk_id IN (SELECT chunk_id FROM s))),
+w1 AS (SELECT DISTINCT y AS record_id FROM p WHERE x IN (SELECT record_id FROM w0)), w2 AS (SELECT DISTINCT y AS record_id FROM p JOIN w1 ON x = w1.record_id JOIN r ON r.record_id = x),
+u AS (SELECT record_id, 0 AS n FROM w0 UNION ALL SELECT record_id, 1 FROM w1 UNION ALL SELECT record_id, 2 FROM w2)
+SELECT record_id, min(n)::INT AS steps, any_value(evidence_span) AS evidence_span FROM u JOIN r USING (record_id) GROUP BY 1""")
 def linked_walk(spark, d):
+    """From the flagged records and their chunks: records of the chunks' entities, then two links; each with its evidence."""
     r = _records(spark, d)
-    start = r.filter("flagged").select("record_id")
-    return entities.walk(start, r.select(norm_id("record_id").alias("record_id")), _links(spark, d), 2)
+    start = r.filter("flagged").select("record_id", F.col("source_chunk_id").alias("chunk_id"))
+    reached = entities.walk(start, entities.reference_edges(r), _links(spark, d), r, 2)
+    spans = r.select(norm_id("record_id").alias("record_id"), "evidence_span").dropDuplicates(["record_id"])
+    return reached.join(spans, "record_id").select("record_id", "steps", "evidence_span")
 
 
 # --- scores ---------------------------------------------------------------------------------------------------------

@@ -206,3 +206,13 @@ def test_candidates_of_neighbouring_segments(spark, frags):
     edges = spark.createDataFrame([(f"r{i:02}", f"c{i % 2}", "x") for i in range(25)] + [(f"s{i}", f"d{i}", "y") for i in range(60)], "record_id string, chunk_id string, entity_id string")
     assert {tuple(r) for r in entities.fan_out_cut(edges, 20).collect()} == {("x", 25, 300, 10)}
     assert entities.candidate_pairs(edges, 20).count() == 290
+
+
+def test_walk_from_a_chunk(spark):
+    edges = spark.createDataFrame([("r1", "c1", "x"), ("r2", "c2", "x"), ("r3", "c3", "y")], "record_id string, chunk_id string, entity_id string")
+    records = spark.createDataFrame([(f"R{i}",) for i in range(1, 6)], "record_id string")
+    links = spark.createDataFrame([("r4", "{R2}"), ("r4", "r5"), ("r4", "r9"), ("r9", "r3")], "record_a string, record_b string")
+    go = lambda v, c, steps=2: {r["record_id"]: r["steps"] for r in entities.walk(spark.createDataFrame([(v,)], f"{c} string"), edges, links, records, steps).collect()}
+    assert go("C1", "chunk_id") == {"r1": 0, "r2": 0, "r4": 1, "r5": 2}
+    assert go("x", "entity_id", 1) == {"r1": 0, "r2": 0, "r4": 1}
+    assert go("r5", "record_id", 1) == {"r5": 0, "r4": 1} and go("none", "chunk_id") == {}
