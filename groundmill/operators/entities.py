@@ -61,6 +61,22 @@ def cross_context(edges: DataFrame) -> DataFrame:
     return edges.groupBy("entity_id").agg(F.count_distinct("chunk_id").alias("chunks")).filter("chunks >= 2")
 
 
+def cooccurrence(edges: DataFrame, part: int = 200) -> DataFrame:
+    """(entity_id, other_id, records, chunks): how many records and chunks two entities share; a row for each direction.
+    Themes are counted too. A place with more than ``part`` entities is cut into parts, so that no task pairs it alone."""
+    counts = []
+    for place, other in (("record_id", "chunk_id"), ("chunk_id", "record_id")):
+        e = edges.filter(F.col(place).isNotNull()).select(F.col(place).alias("place"), "entity_id").distinct()
+        e = e.join(e.groupBy("place").agg(F.floor(F.count("*") / part).cast("int").alias("parts")), "place")
+        a = e.select("place", F.col("entity_id").alias("a"), F.pmod(F.hash("entity_id"), F.col("parts") + 1).alias("part"))
+        b = e.select("place", F.col("entity_id").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts"))).alias("part"))
+        pairs = a.join(b, ["place", "part"]).filter("a < b").groupBy("a", "b").agg(F.count("*").alias(place)).withColumn(other, F.lit(0).cast("bigint"))
+        counts.append(pairs.select("a", "b", F.col("record_id").alias("records"), F.col("chunk_id").alias("chunks")))
+    both = counts[0].unionByName(counts[1]).groupBy("a", "b").agg(F.sum("records").alias("records"), F.sum("chunks").alias("chunks"))
+    ways = F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y"))))
+    return both.select(ways.alias("w"), "records", "chunks").select(F.col("w.x").alias("entity_id"), F.col("w.y").alias("other_id"), "records", "chunks")
+
+
 def candidate_pairs(edges: DataFrame, fan_out: int = 20) -> DataFrame:
     """Pairs of records that share an entity that is no theme, each record with its next ``fan_out`` of the entity
     in order of id. The cap is the operator's meaning. Records of an entity are numbered and meet by number, so no group

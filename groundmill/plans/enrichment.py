@@ -288,6 +288,13 @@ def candidate_fan_out(spark, d):
     return entities.fan_out_cut(entities.reference_edges(_records(spark, d)))
 
 
+@query("cooccurrence", f"""WITH {_EDGES}, u AS (SELECT DISTINCT a.entity_id, b.entity_id AS other_id, a.record_id AS r, NULL AS c FROM e a JOIN e b ON a.record_id = b.record_id AND a.entity_id <> b.entity_id
+ UNION ALL SELECT DISTINCT a.entity_id, b.entity_id, NULL, a.chunk_id FROM e a JOIN e b ON a.chunk_id = b.chunk_id AND a.entity_id <> b.entity_id)
+SELECT entity_id, other_id, count(r) AS records, count(c) AS chunks FROM u GROUP BY ALL""")
+def cooccurrence(spark, d):
+    return entities.cooccurrence(entities.reference_edges(_records(spark, d)))
+
+
 @query("current_records", f"SELECT DISTINCT {_N('record_id')} AS record_id FROM enrichment_records WHERE {_N('record_id')} NOT IN (SELECT {_N('supersedes')} FROM enrichment_records WHERE supersedes IS NOT NULL)")
 def current_records(spark, d):
     return sinks.current(_records(spark, d)).select(norm_id("record_id").alias("record_id"))

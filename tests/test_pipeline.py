@@ -216,3 +216,12 @@ def test_walk_from_a_chunk(spark):
     assert go("C1", "chunk_id") == {"r1": 0, "r2": 0, "r4": 1, "r5": 2}
     assert go("x", "entity_id", 1) == {"r1": 0, "r2": 0, "r4": 1}
     assert go("r5", "record_id", 1) == {"r5": 0, "r4": 1} and go("none", "chunk_id") == {}
+
+
+def test_cooccurrence(spark):
+    rows = [("r1", "c1", "x"), ("r1", "c1", "y"), ("r2", "c1", "z"), ("r3", "c2", "x"), ("r3", "c2", "y"), ("r4", None, "x"), ("r4", None, "z")]
+    edges = spark.createDataFrame(rows, "record_id string, chunk_id string, entity_id string")
+    want = {("x", "y"): (2, 2), ("x", "z"): (1, 1), ("y", "z"): (0, 1)}
+    for part in (1, 200):
+        got = {(r["entity_id"], r["other_id"]): (r["records"], r["chunks"]) for r in entities.cooccurrence(edges, part).collect()}
+        assert got == want | {k[::-1]: v for k, v in want.items()}
