@@ -1,4 +1,4 @@
-"""Markdown of collected rows: one scorecard row for each run, and the review of a few chunks."""
+"""Markdown of collected rows: one scorecard row for each run, and the review of chunks."""
 
 from __future__ import annotations
 
@@ -21,12 +21,16 @@ def scorecard_table(cards: dict[str, DataFrame]) -> str:
     return "\n".join(lines) + "\n"
 
 
-def review(reviewed: DataFrame, vocabulary: DataFrame | None = None, chunks: int = 50, terms: int = 40) -> str:
-    """The first chunks of ``passes.review`` and the first terms of the vocabulary, for reading by eye."""
+def review(reviewed: DataFrame, vocabulary: DataFrame | None = None, chunks: int | None = None, terms: int = 40) -> str:
+    """A section for every chunk of ``passes.review``, or the first ``chunks`` and how many are left out, and the first
+    terms of the vocabulary, for reading by eye."""
     out = ["# Review"]
     if vocabulary is not None:
         out.append("Terms: " + ", ".join(_cell(r["term"]) for r in vocabulary.orderBy("term").limit(terms).collect()))
-    for r in reviewed.orderBy("chunk_id").limit(chunks).collect():
+    ordered = reviewed.orderBy("chunk_id")
+    for r in (ordered if chunks is None else ordered.limit(chunks)).toLocalIterator():
         out.append(f"\n## {r['chunk_id']}")
         out += [f"- {k}: {_cell(v.asDict() if hasattr(v, 'asDict') else v)}" for k, v in r.asDict().items() if k != "chunk_id"]
+    if chunks is not None and (left := reviewed.count() - chunks) > 0:
+        out.append(f"\n{left} more chunks are not shown.")
     return "\n".join(out) + "\n"

@@ -24,3 +24,11 @@ def test_markdown(spark):
 def test_cli(capsys):
     assert cli.main(["--list"]) == 0 and "p5_found" in capsys.readouterr().out
     assert cli.main(["nothing", "/x"]) == 2
+
+
+def test_review_has_every_chunk(spark):
+    chunks = spark.range(131).selectExpr("lpad(id, 3, '0') AS chunk_id", "array('k') AS keywords")
+    reviewed = passes.review(chunks.select("chunk_id"), words=chunks)
+    assert review(reviewed).count("\n## ") == 131
+    text = review(reviewed, chunks=50)
+    assert text.count("\n## ") == 50 and "81 more chunks are not shown" in text and "not shown" not in review(reviewed, chunks=131)
