@@ -81,11 +81,16 @@ def candidate_pairs(edges: DataFrame, fan_out: int = 20) -> DataFrame:
     """Pairs of records that share an entity that is no theme, each record with its next ``fan_out`` of the entity
     in order of id. The cap is the operator's meaning. Records of an entity are numbered and meet by number, so no group
     of all its pairs is made."""
+    return _meetings(edges, fan_out).groupBy("record_a", "record_b").agg(F.count("*").alias("shared"))
+
+
+def _meetings(edges: DataFrame, fan_out: int) -> DataFrame:
+    """The same, once for each entity."""
     w = weights(edges).filter("NOT is_theme").select("entity_id")
     kept = edges.join(w, "entity_id", "left_semi").select("record_id", "entity_id").distinct()
     n = kept.withColumn("n", F.row_number().over(Window.partitionBy("entity_id").orderBy("record_id")))
     ahead = n.withColumn("n", F.explode(F.sequence(F.col("n") + 1, F.col("n") + fan_out))).withColumnRenamed("record_id", "record_a")
-    return ahead.join(n.withColumnRenamed("record_id", "record_b"), ["entity_id", "n"]).groupBy("record_a", "record_b").agg(F.count("*").alias("shared"))
+    return ahead.join(n.withColumnRenamed("record_id", "record_b"), ["entity_id", "n"]).select("record_a", "record_b")
 
 
 def fan_out_cut(edges: DataFrame, fan_out: int = 20) -> DataFrame:
@@ -98,18 +103,22 @@ def fan_out_cut(edges: DataFrame, fan_out: int = 20) -> DataFrame:
 
 
 def document_adjacent(records: DataFrame, frags: DataFrame, window: int = 1) -> DataFrame:
-    """Pairs of records of fragments of one document within ``window`` places, those of the same fragment included. Records
+    """Distinct pairs of records of fragments of one document within ``window`` places, those of the same fragment included. Records
     whose fragment is unknown have no place. Not capped: fragments hold few records."""
+    return _adjacent(records, frags, window).distinct()
+
+
+def _adjacent(records: DataFrame, frags: DataFrame, window: int) -> DataFrame:
     r = records.select(norm_id("record_id").alias("record_id"), norm_id("source_chunk_id").alias("chunk_id")).distinct()
     near = corpus.neighbours(r.select("chunk_id"), frags, window).select("anchor_id", "chunk_id")
     a, b = r.withColumnsRenamed({"record_id": "record_a", "chunk_id": "anchor_id"}), r.withColumnRenamed("record_id", "record_b")
-    return a.join(near, "anchor_id").join(b, "chunk_id").filter("record_a < record_b").select("record_a", "record_b").distinct()
+    return a.join(near, "anchor_id").join(b, "chunk_id").filter("record_a < record_b").select("record_a", "record_b")
 
 
 def candidates(records: DataFrame, frags: DataFrame, fan_out: int = 20, window: int = 1) -> DataFrame:
     """(record_a, record_b, shared, adjacent): the pairs of ``candidate_pairs`` and of ``document_adjacent``, each once."""
-    shared = candidate_pairs(reference_edges(records), fan_out).withColumn("adjacent", F.lit(False))
-    near = document_adjacent(records, frags, window).withColumns({"shared": F.lit(0).cast("bigint"), "adjacent": F.lit(True)})
+    shared = _meetings(reference_edges(records), fan_out).withColumns({"shared": F.lit(1), "adjacent": F.lit(False)})
+    near = _adjacent(records, frags, window).withColumns({"shared": F.lit(0), "adjacent": F.lit(True)})
     return shared.unionByName(near).groupBy("record_a", "record_b").agg(F.sum("shared").alias("shared"), F.bool_or("adjacent").alias("adjacent"))
 
 
