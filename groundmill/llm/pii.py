@@ -3,8 +3,8 @@
 The model (weights in pii_weights.npz, trained by pii_training.py in numpy from labelled spans) scores every
 character in overlapping windows. Scores of characters that lie in two windows are blended by their distance
 from the windows' edges, and one Viterbi pass decodes each whole text, so an item across windows stays whole.
-An exact check follows: a decoded span is set to the item of its kind that it overlaps (an address to its postal code,
-a phone with its extension, a name without titles) and is dropped where there is none.
+Spans come from begin and inside tags of the decode; only their edges are trimmed, to whole words and without the
+blanks and marks around them.
 
 Defined cases: null and empty texts have no items; texts of any length are read whole; equal texts of a batch
 are read once; repeated rows are kept as they come.
@@ -13,7 +13,6 @@ are read once; repeated rows are kept as they come.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "phone", "id_number", "address", "name")
-TAGS = ["O", *KINDS]
+#: Outside, the first character of an item of each kind, the others of it.
+TAGS = ["O", *(f"B-{k}" for k in KINDS), *(f"I-{k}" for k in KINDS)]
+
+
+def begin(kind: int) -> int:
+    return 1 + kind
+
+
+def inside(kind: int) -> int:
+    return 1 + len(KINDS) + kind
+
+
+#: An item opens after none or after one of its own kind and goes on only in its own kind.
+ALLOWED = np.zeros((len(TAGS), len(TAGS)), bool)
+ALLOWED[:, 0] = True
+for _k in range(len(KINDS)):
+    ALLOWED[0, begin(_k)] = ALLOWED[inside(_k), begin(_k)] = True
+    ALLOWED[begin(_k), inside(_k)] = ALLOWED[inside(_k), inside(_k)] = True
+STARTS = np.array([not t.startswith("I-") for t in TAGS])
 WINDOW, OVERLAP = 256, 48
 BATCH_WINDOWS = 512
 WEIGHTS = os.path.join(os.path.dirname(__file__), "pii_weights.npz")
@@ -100,22 +117,32 @@ class Tagger:
         return total
 
     def viterbi(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """(T, B) best tags of scores (T, K, B); texts sorted by falling length."""
+        """(T, B) best tags of scores (T, K, B); texts sorted by falling length. Only allowed transitions are looked at:
+        any tag to none, none or an item's end to its kind's begin, begin and inside to inside."""
         t_len, k, b = scores.shape
+        n_kinds = (k - 1) // 2
+        beg, ins = slice(1, 1 + n_kinds), slice(1 + n_kinds, k)
+        at = np.arange(n_kinds)
+        out_w = self.trans[:, 0][:, None]
+        open_w, again_w = self.trans[0, beg][:, None], self.trans[1 + n_kinds + at, 1 + at][:, None]
+        on_w, stay_w = self.trans[1 + at, 1 + n_kinds + at][:, None], self.trans[1 + n_kinds + at, 1 + n_kinds + at][:, None]
         back = np.zeros((t_len, k, b), np.int8)
-        best = self.start[:, None] + scores[0]
+        best = np.where(STARTS, self.start, -1e4).astype(np.float32)[:, None] + scores[0]
         live = np.searchsorted(-lengths, -np.arange(t_len), side="left")  # texts longer than t
-        m, c, more = np.empty((k, b), np.float32), np.empty((k, b), np.float32), np.empty((k, b), bool)
+        opened, inner = (1 + n_kinds + at).astype(np.int8)[:, None], (1 + at).astype(np.int8)[:, None]
         for t in range(1, t_len):
             n = live[t]
-            mm, cc, gg, bb = m[:, :n], c[:, :n], more[:, :n], back[t, :, :n]
-            np.add(best[0, :n], self.trans[0][:, None], out=mm)
-            for p in range(1, k):
-                np.add(best[p, :n], self.trans[p][:, None], out=cc)
-                np.greater(cc, mm, out=gg)
-                np.copyto(bb, p, where=gg)
-                np.maximum(mm, cc, out=mm)
-            np.add(mm, scores[t, :, :n], out=best[:, :n])
+            now, was = best[:, :n], back[t, :, :n]
+            leave = now + out_w
+            from_ = leave.argmax(0)
+            first, again = now[0] + open_w, now[ins] + again_w
+            on, stay = now[beg] + on_w, now[ins] + stay_w
+            was[0], was[beg], was[ins] = from_, np.where(again > first, opened, 0), np.where(stay > on, opened, inner)
+            new = scores[t, :, :n].copy()
+            new[0] += np.take_along_axis(leave, from_[None], 0)[0]
+            new[beg] += np.maximum(first, again)
+            new[ins] += np.maximum(on, stay)
+            best[:, :n] = new
         tags = np.zeros((t_len, b), np.int8)
         last, rows = best.argmax(0), np.arange(b)
         for t in range(t_len - 1, -1, -1):
@@ -165,99 +192,42 @@ class Tagger:
 
 
 def spans_of(tags: np.ndarray) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of runs of tags."""
+    """(kind, start, end) of the items of a decoded text: each opens with its begin tag."""
     if not tags.any():
         return []
-    cut = (np.flatnonzero(tags[1:] != tags[:-1]) + 1).tolist()
+    n = len(KINDS)
+    kind = np.where(tags == 0, -1, (tags - 1) % n)
+    cut = (np.flatnonzero((kind[1:] != kind[:-1]) | ((tags[1:] > 0) & (tags[1:] <= n))) + 1).tolist()
     starts = [0, *cut]
-    kinds = tags[starts].tolist()
-    return [(KINDS[k - 1], a, b) for k, a, b in zip(kinds, starts, [*cut, len(tags)], strict=True) if k]
-
-
-_AT, _DOT = r"(?:\s?@\s?|\s?[\[(]at[\])]\s?)", r"(?:\.|\s?[\[(]dot[\])]\s?)"
-_WORD = r"(?:[A-ZÀ-Þ][\w.'’-]*|#|\d{1,4}[A-Za-z]?\b(?!-\d))"
-PATTERNS = {
-    "email": re.compile(rf"(?<![\w.+-])[A-Za-z0-9][\w.+-]*(?:{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)*{_DOT}[A-Za-z]{{2,}}|\sat\s[A-Za-z0-9-]+(?:\sdot\s[A-Za-z0-9-]+)+)(?![\w-])"),
-    "phone": re.compile(
-        r"(?<![\w+-])(?:\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}|001(?:[ .-]\d{3}){2}[ .-]\d{4}|1[ .-]\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4}|\(0\d{1,4}\) ?\d{3,6}[ -]?\d{2,4}|0\d{2,4} \d{3,4} ?\d{3,4}|\d{10})"
-        r"(?:,? ?(?:x|ext\.?|extension|Ext\.?|X|EXT\.?|Durchwahl|poste) ?\d{1,6})?(?![\w-]|\.\d)"
-    ),
-    "id_number": re.compile(r"(?<![\w-])(?:\d{3}-\d\d-\d{4}|\d{3} \d\d \d{4}|\d{9}|\d\d ?\d{3} ?\d{3} ?\d{3}|[A-Za-z]{2} ?\d\d ?\d\d ?\d\d ?[A-Da-d]|[A-Za-z]\d{7,8}|[A-Za-z]\d{3}-\d{4}-\d{4})(?![\w-])"),
-    "address": re.compile(
-        rf"(?<![\w./#-])(?:P\.? ?O\.? ?(?:Box|BOX) \d+|\d{{1,5}}[A-Za-z]? (?=[A-ZÀ-Þ]))(?:[,\s]+|{_WORD}(?=[,\s]))+?(?:\d{{5}}(?:-\d{{4}})?|[A-Z]{{1,2}}\d{{1,2}}[A-Z]? \d[A-Z]{{2}})(?![\w-])"
-        r"|(?:\b[A-ZÀ-Þ][\wÀ-ÿ.'-]*\s){1,3}\d{1,4}\s?[a-z]?,\s\d{5}(?!\w)"
-    ),
-}
-_ROLES = (
-    "dr|mr|mrs|ms|miss|prof|professor|herr|frau|mme|mlle|señora?|atty|attorney|nurse|examiner|reviewer|manager|case manager|adjuster|supervisor|appeals specialist|specialist|physician|attending physician|counsel|claims rep|representative|"
-    "judge|director|analyst|doctor|investigator|consultant|vocational consultant|nurse reviewer|the insured|spouse|claimant|caller|voicemail for|deposition of|per|by|cc|employer contact|la|madame|monsieur"
-)
-_LEAD = re.compile(rf"(?:(?:{_ROLES})\b\.?[\s:,]+)+", re.I)
-_TRAIL = re.compile(r"(?:[\s,]+(?:RN|M\.?D|Ph\.?D|Esq|D\.?O|DDS|J\.?D|MBA|CPA|LPN|MSW|PsyD)\b\.?|\s*\([^)]*\)|['’]s)+$", re.I)
-_INITIALS_BEFORE = re.compile(r"(?<![\w.])(?<!\d )(?:[^\W\d_]\.[ ]?){1,2}[ ]?$")
-_GIVEN_BEFORE = re.compile(r"(?<![\w.])[A-ZÀ-Þ][^\W\d_]+[ ]{1,2}$")
-_INITIAL_AFTER = re.compile(r",?[ ]{1,2}[A-ZÀ-Þ](?=\.(?!\w))|(?:,[ ]{1,2}[A-ZÀ-Þ](?=\.[A-ZÀ-Þ]\.(?! ?(?:no|number)\b))\.[A-ZÀ-Þ])")
-_COMMA_GIVEN = re.compile(r",[ ]{1,2}[A-ZÀ-Þ][^\W\d_]{2,}(?=[\s,;:.'’])")
-_SENTENCE = re.compile(r"(?:(?<=[^\W\d_]{5})|\.)\.\s+")
-
-
-def exact_name(text: str, s: int, e: int) -> tuple[int, int] | None:
-    """The decoded name at whole words, without titles, roles and degrees; its last dot only after an initial,
-    a shortened name or Jr./Sr."""
-    while s > 0 and text[s - 1].isalnum():
-        s -= 1
-    while e < len(text) and text[e].isalnum():
-        e += 1
-    while s < e and not (text[s].isalnum() or text[s] in "\"“"):
-        s += 1
-    if m := _INITIALS_BEFORE.search(text, max(0, s - 12), s):
-        s = m.start()
-        if (m := _GIVEN_BEFORE.search(text, max(0, s - 20), s)) and not _LEAD.fullmatch(m[0]):
-            s = m.start()
-    if m := _LEAD.match(text, s, e):
-        s = m.end()
-    if s < e and text[s] in "\"“" and (m := _GIVEN_BEFORE.search(text, max(0, s - 20), s)) and not _LEAD.fullmatch(m[0]):
-        s = m.start()
-    if s < e and text[s:e].isalpha() and (m := _COMMA_GIVEN.match(text, e)) and not _LEAD.match(text[e:].lstrip(", ")) and not _TRAIL.fullmatch(m[0]):
-        e = m.end()
-    if m := _INITIAL_AFTER.match(text, e):
-        e = m.end()
-    if m := re.match(r"[\s,]+(?:Jr|Sr|JR|SR|jr|sr|II|III|IV)\b", text[e:]):
-        e += m.end()
-    if m := _TRAIL.search(text[s:e]):
-        e = s + m.start()
-    while e > s and not text[e - 1].isalnum():
-        e -= 1
-    last = re.search(r"[^\s,]+$", text[s:e])
-    if last and e < len(text) and text[e] == "." and (len(last[0]) == 1 or re.fullmatch(r"(?:[^\W\d_]\.)+[^\W\d_]|Jr|Sr|JR|SR|jr|sr", last[0])):
-        e += 1
-    return (s, e) if sum(c.isalpha() for c in text[s:e]) > 2 else None
-
-
-def _sentences(text: str, s: int, e: int) -> Iterator[tuple[int, int]]:
-    """Parts of a span that ran over the end of a sentence."""
-    for m in _SENTENCE.finditer(text, s, e):
-        yield s, m.start()
-        s = m.end()
-    yield s, e
-
-
-def exact_spans(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    return [(KINDS[k], a, b) for k, a, b in zip(kind[starts].tolist(), starts, [*cut, len(tags)], strict=True) if k >= 0]
+
+
+def trimmed(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Spans at whole words: a word cut by an edge belongs to the span if the greater part of it lies inside; blanks and marks
+    around are cut off, but for the bracket or plus of a phone and the dot of an initial. No span is added."""
     out: list[tuple[str, int, int]] = []
-    done: dict[str, list] = {}
     for kind, s, e in spans:
-        if kind == "name":
-            for a, b in _sentences(text, s, e):
-                got = exact_name(text, a, b)
-                if got and not any(got[0] < y and x < got[1] for _, x, y in out):
-                    out.append((kind, *got))
-            continue
-        if kind not in done:
-            done[kind] = [m.span() for m in PATTERNS[kind].finditer(text)]
-        over = [(min(b, e) - max(a, s), a, b) for a, b in done[kind] if a < e and s < b]
-        got = max(over)[1:] if over else None
-        if got and not any(got[0] < b and a < got[1] for _, a, b in out):
-            out.append((kind, *got))
+        a, b = s, e
+        while 0 < a < len(text) and text[a].isalnum() and text[a - 1].isalnum():
+            a -= 1
+        if a < s:
+            end = s
+            while end < e and text[end].isalnum():
+                end += 1
+            s = a if end - s >= s - a else end
+        while 0 < b < len(text) and text[b].isalnum() and text[b - 1].isalnum():
+            b += 1
+        if b > e:
+            first = e
+            while first > s and text[first - 1].isalnum():
+                first -= 1
+            e = b if e - first >= b - e else first
+        while s < e and not (text[s].isalnum() or kind == "phone" and text[s] in "+("):
+            s += 1
+        while e > s and not (text[e - 1].isalnum() or kind == "name" and text[e - 1] == "." and text[e - 2 : e - 1] != "." and (e - s < 4 or not all(map(str.isalnum, text[e - 4 : e - 1])))):
+            e -= 1
+        if e - s > 1 and (not out or s >= out[-1][2]):
+            out.append((kind, s, e))
     return out
 
 
@@ -271,8 +241,8 @@ def tagger(path: str = WEIGHTS) -> Tagger:
     return _loaded[path]
 
 
-def find_items(texts: list[str | None], path: str = WEIGHTS) -> list[list[tuple[str, int, int]]]:
-    """Items of each text; equal texts are read once."""
+def find_items(texts: list[str | None], path: str = WEIGHTS, exact: bool = True) -> list[list[tuple[str, int, int]]]:
+    """Items of each text; equal texts are read once. Without ``exact`` the spans are as decoded."""
     own = list(dict.fromkeys(t for t in texts if t and not t.isspace()))
     found = {}
     model = tagger(path)
@@ -284,7 +254,7 @@ def find_items(texts: list[str | None], path: str = WEIGHTS) -> list[list[tuple[
             n += 1
         part = own[at : at + n]
         for t, tags in zip(part, model.tag(part), strict=True):
-            found[t] = exact_spans(t, spans_of(tags))
+            found[t] = trimmed(t, spans_of(tags)) if exact else spans_of(tags)
         at += n
     return [found.get(t, []) for t in texts]
 

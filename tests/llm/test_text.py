@@ -111,9 +111,10 @@ def test_gradient():
     k, h = len(pii.TAGS), 3
     w = {"table": rng.standard_normal((2, pii.SYMBOLS, 4 * h)), "recur": rng.standard_normal((2, h, 4 * h)), "out": rng.standard_normal((2 * h, k)), "bias": rng.standard_normal(k), "trans": rng.standard_normal((k, k)), "start": rng.standard_normal(k)}
     w = {n: 0.5 * v for n, v in w.items()}
-    x, y, lengths = rng.integers(1, 90, (7, 3)), rng.integers(0, k, (7, 3)), np.array([7, 5, 2])
+    x, lengths = rng.integers(1, 90, (7, 3)), np.array([7, 5, 2])
+    y = np.array([[0, 2, 5], [0, 7, 10], [3, 0, 10], [8, 1, 0], [8, 6, 0], [0, 6, 0], [4, 1, 0]])  # allowed ways only
     _, g = pii_training.loss_and_gradient(w, x, y, lengths)
-    for name, at in (("out", (1, 2)), ("trans", (0, 3)), ("start", (1,)), ("recur", (0, 1, 4)), ("recur", (1, 2, 10)), ("table", (0, int(x[1, 0]), 5)), ("bias", (4,))):
+    for name, at in (("out", (1, 2)), ("trans", (0, 3)), ("trans", (7, 0)), ("start", (2,)), ("recur", (0, 1, 4)), ("recur", (1, 2, 10)), ("table", (0, int(x[1, 0]), 5)), ("bias", (4,))):
         e = 1e-3
         w[name][at] += e
         up, _ = pii_training.loss_and_gradient(w, x, y, lengths)
@@ -129,18 +130,35 @@ def test_viterbi_against_brute_force():
     rng = np.random.default_rng(2)
     k, h = len(pii.TAGS), 2
     model = pii.Tagger({"table": np.zeros((2, pii.SYMBOLS, 4 * h)), "recur": np.zeros((2, h, 4 * h)), "out": np.zeros((2 * h, k)), "bias": np.zeros(k), "trans": rng.standard_normal((k, k)), "start": rng.standard_normal(k)})
-    s = rng.standard_normal((4, k, 2)).astype(np.float32)
+    s = 2 * rng.standard_normal((4, k, 2)).astype(np.float32)
     lengths = np.array([4, 3])
     got = model.viterbi(s, lengths)
     for j, n in enumerate(lengths):
-        best = max(itertools.product(range(k), repeat=int(n)), key=lambda p: model.start[p[0]] + s[0, p[0], j] + sum(model.trans[p[t - 1], p[t]] + s[t, p[t], j] for t in range(1, n)))
+        ways = (p for p in itertools.product(range(k), repeat=int(n)) if pii.STARTS[p[0]] and all(pii.ALLOWED[a, b] for a, b in itertools.pairwise(p)))
+        best = max(ways, key=lambda p: model.start[p[0]] + s[0, p[0], j] + sum(model.trans[p[t - 1], p[t]] + s[t, p[t], j] for t in range(1, n)))
         assert got[:n, j].tolist() == list(best)
 
 
+def test_touching_items_and_edges():
+    k = {n: i for i, n in enumerate(pii.TAGS)}
+    tags = np.array([k["B-phone"], k["I-phone"], k["B-phone"], k["I-phone"], 0, k["B-name"], k["I-name"]], np.int8)
+    assert pii.spans_of(tags) == [("phone", 0, 2), ("phone", 2, 4), ("name", 5, 7)]
+    text = "by Marla Quenbury, J. (415) 555-0117) on"
+    at = text.index
+    cut = [("name", at("arla"), at("ury,")), ("name", at("J."), at(" (415")), ("phone", at("(415"), at(" on"))]
+    assert [text[a:b] for _, a, b in pii.trimmed(text, cut)] == ["Marla Quenbury", "J.", "(415) 555-0117"]
+
+
+def test_hand_labels():
+    text = "Deposition of Dr. Ann B. Quenbury, RN was moved to 2025-01-05 at the request of both sides.\nIdentity was verified on the call against passport no. X1234567. Home visit at Steinweg 4a, 12345 Nordheim found the claimant walking without a cane."
+    got = [(kind, text[a:b]) for *_, spans in pii_training.marked(text, pii_training.frame_patterns()) for kind, a, b in spans]
+    assert got == [("name", "Ann B. Quenbury"), ("id_number", "X1234567"), ("address", "Steinweg 4a, 12345")]
+
+
 def test_training_learns():
     good = [list(s) for s in SENTENCES]
-    pools = {kind: [p[1] for s in SENTENCES for p in s if isinstance(p, tuple) and p[0] == kind] for kind in (*pii.KINDS, "org")}
-    w = pii_training.train(good, pools, epochs=16, per_epoch=384, batch=16, hidden=16)
+    pools = {kind: [p[1] for s in SENTENCES for p in s if isinstance(p, tuple) and p[0] == kind] for kind in (*pii.KINDS, "org", "code")}
+    w = pii_training.train(good, pools, steps=130, batch=12, workers=2, hidden=16)
     rng = random.Random(9)
     right = total = 0
     model = pii.Tagger(w)
