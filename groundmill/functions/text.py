@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from groundmill.common import norm_id
+
 # Python counts the four separators U+001C to U+001F as blanks, Java's White_Space does not.
 BLANK = r"[\s\x{1c}-\x{1f}]"
 # Keywords that say nothing.
-EMPTY_KEYWORDS = ("the", "a", "an", "and", "or", "of", "to", "in", "for", "on", "with", "is", "it")
+EMPTY_KEYWORDS = ("the", "a", "an", "and", "or", "of", "to", "in", "on", "for", "n/a", "none", "-")
 
 
 def _col(x: Column | str) -> Column:
@@ -84,10 +86,21 @@ def page_range(name: Column | str) -> Column:
     return F.struct(stem.alias("stem"), part(1).alias("lo"), part(2).alias("hi"))
 
 
+def uuid_key(x: Column | str) -> Column:
+    """The one form of a uuid, lower case with dashes, of any common spelling (blanks around, braces and urn:uuid: are
+    optional, dashes too, letters of any case); null for any other text."""
+    bare = F.regexp_replace(F.regexp_replace(F.lower(strip(x)), r"^\{?(?:urn:)?(?:uuid:)?\{?|\}$", ""), "-", "")
+    cut = lambda at, n: F.substring(bare, at, n)
+    return F.when(bare.rlike("^[0-9a-f]{32}$"), F.concat_ws("-", cut(1, 8), cut(9, 4), cut(13, 4), cut(17, 4), cut(21, 12)))
+
+
 def is_uuid(x: Column | str) -> Column:
-    """Any common spelling: dashes, braces and urn:uuid: are optional, letters of any case."""
-    bare = F.replace(F.regexp_replace(F.lower(_col(x)), r"^urn:(?:uuid:)?|^uuid:|[{}]", ""), F.lit("-"), F.lit(""))
-    return F.coalesce(bare.rlike("^[0-9a-f]{32}$"), F.lit(False))
+    return uuid_key(x).isNotNull()
+
+
+def any_id(x: Column | str) -> Column:
+    """The one form of a uuid, and the normal form of any other id."""
+    return F.coalesce(uuid_key(x), norm_id(x))
 
 
 def identifier(x: Column | str) -> Column:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundmill.common import durable, norm_id
+from groundmill.common import durable, norm_id, running
 from groundmill.functions.text import normalize_actor, strip
 from groundmill.sources import corpus
 
@@ -27,7 +27,7 @@ def resolve_or_create(surfaces: DataFrame, existing: DataFrame | None = None) ->
     ``surfaces``: entity_type, surface, record_id, ordinal. Surfaces are aggregated to distinct ones first, so a noun
     of a third of the rows is folded before it is gathered."""
     canonical = F.when(F.col("entity_type") == "actor", normalize_actor("surface")).otherwise(strip("surface"))
-    named = surfaces.withColumn("canonical", canonical).filter(F.length("canonical") > 0)
+    named = surfaces.filter(F.length("surface") > 0).withColumn("canonical", canonical)
     by_surface = named.groupBy("entity_type", "canonical", "surface").agg(F.min(F.struct("ordinal", "record_id")).alias("first"))
     order = F.array_sort(F.collect_list(F.when(F.col("surface") != F.col("canonical"), F.struct("first", "surface"))))
     new = by_surface.groupBy("entity_type", "canonical").agg(F.min("first")["record_id"].alias("first_seen_record"), F.transform(order, lambda x: x["surface"]).alias("aliases"))
@@ -43,6 +43,13 @@ def resolve_or_create(surfaces: DataFrame, existing: DataFrame | None = None) ->
     )
 
 
+def by_chunk(records: DataFrame, columns: list) -> DataFrame:
+    """(chunk_id, records): the chosen columns of each chunk's records in order of place. A chunk holds few records."""
+    first = [F.col("char_start").alias("_at")]
+    r = records.select(norm_id("source_chunk_id").alias("chunk_id"), F.struct(*first, *columns).alias("r")).filter("chunk_id IS NOT NULL")
+    return r.groupBy("chunk_id").agg(F.array_sort(F.collect_list("r")).alias("records"))
+
+
 def reference_edges(records: DataFrame) -> DataFrame:
     """(record_id, chunk_id, entity_id), distinct: the one explode that reverse lookups share."""
     e = records.select(norm_id("record_id").alias("record_id"), norm_id("source_chunk_id").alias("chunk_id"), F.explode("entity_refs").alias("r"))
@@ -88,7 +95,7 @@ def _meetings(edges: DataFrame, fan_out: int) -> DataFrame:
     """The same, once for each entity."""
     w = weights(edges).filter("NOT is_theme").select("entity_id")
     kept = edges.join(w, "entity_id", "left_semi").select("record_id", "entity_id").distinct()
-    n = kept.withColumn("n", F.row_number().over(Window.partitionBy("entity_id").orderBy("record_id")))
+    n = running(kept, ["entity_id"], ["record_id"], {"n": F.lit(1)})
     ahead = n.withColumn("n", F.explode(F.sequence(F.col("n") + 1, F.col("n") + fan_out))).withColumnRenamed("record_id", "record_a")
     return ahead.join(n.withColumnRenamed("record_id", "record_b"), ["entity_id", "n"]).select("record_a", "record_b")
 

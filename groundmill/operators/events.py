@@ -78,8 +78,11 @@ def materialise(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     comp = components(links.select("a", "b"))
     of = durable(links.join(comp, F.col("a") == F.col("record_id")).select("component", "link_id", "a", "b", "created"))
 
-    def run(which: int, columns: list[str]):
-        return lambda g: pd.DataFrame(fold(g.sort_values(["created", "link_id"]))[which], columns=columns)
+    columns = [x.split()[0] for x in EVENTS.split(", ")]
 
-    grouped = of.groupBy("component")
-    return grouped.applyInPandas(run(0, [x.split()[0] for x in EVENTS.split(", ")]), EVENTS), grouped.applyInPandas(run(1, ["link_id", "event_entity"]), STEPS)
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        found, steps = fold(g.sort_values(["created", "link_id"]))
+        return pd.concat([pd.DataFrame(found, columns=columns), pd.DataFrame(steps, columns=["link_id", "event_entity"])], ignore_index=True).astype(object).where(lambda x: x.notna(), None)
+
+    both = durable(of.groupBy("component").applyInPandas(run, f"{EVENTS}, {STEPS}"))
+    return both.filter("event_id IS NOT NULL").select(*columns), both.filter("link_id IS NOT NULL").select("link_id", "event_entity")

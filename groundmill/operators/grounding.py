@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from groundmill.common import durable, norm_id
 from groundmill.functions.jsonx import kind
-from groundmill.functions.text import locate_quote, normalize_actor, sha256_text, strip
+from groundmill.functions.text import any_id, locate_quote, normalize_actor, sha256_text, strip
 
 TIERS = ("fact", "interpretation")
 # Columns that only code may set, so a payload that carries one is refused.
-CODE_OWNED = ("evidence_span", "provenance_validation", "page", "document", "flagged", "record_id", "created")
+CODE_OWNED = ("evidence_span", "page", "document", "provenance_validation", "source_sha256", "evidence_sha256", "source_chunk_id")
 
 
 def fail(df: DataFrame, bad: Column, code: str, detail: Column | str = "") -> DataFrame:
@@ -43,7 +43,7 @@ def first_problem(payload: Column) -> Column:
         (F.length(strip(F.coalesce(text("record_type"), F.lit("")))) == 0, "record_type must be text"),
         (~F.coalesce(text("tier").isin(*TIERS), F.lit(False)), "tier must be fact or interpretation"),
         *[(~F.coalesce(whole(k), F.lit(False)), f"{k} must be a whole number") for k in ("char_start", "char_end")],
-        (~F.coalesce(of("fields") == "object", F.lit(False)), "fields must be an object"),
+        (get("fields").isNotNull() & (of("fields") != "object"), "fields must be an object"),
         (present("confidence") & ~F.coalesce((of("confidence") == "number") & number.between(0, 1), F.lit(False)), "confidence must be a number from 0 to 1"),
         *[(present(k) & (of(k) != "string"), f"{k} must be text") for k in ("actor", "event_date", "claim_relevance", "chunk_id", "chunk_handle")],
     ]
@@ -61,9 +61,9 @@ def resolve(df: DataFrame, handles: DataFrame) -> DataFrame:
     chunk_id, current_id; ``handles``: workstream, handle, chunk_id."""
     h = handles.select(F.col("workstream").alias("_w"), F.col("handle").alias("_h"), norm_id("chunk_id").alias("_of"))
     j = df.join(h, (F.col("workstream") == F.col("_w")) & (F.col("chunk_handle") == F.col("_h")), "left")
-    j = j.withColumn("resolved_id", F.when(F.col("chunk_handle").isNotNull(), F.col("_of")).otherwise(F.coalesce(norm_id("chunk_id"), norm_id("current_id"))))
+    j = j.withColumn("resolved_id", F.when(F.col("chunk_handle").isNotNull(), F.col("_of")).otherwise(F.coalesce(any_id("chunk_id"), any_id("current_id"))))
     j = fail(j, F.col("chunk_handle").isNotNull() & F.col("_of").isNull(), "unknown_fragment", "handle not minted")
-    j = fail(j, F.col("chunk_handle").isNotNull() & F.col("chunk_id").isNotNull() & (F.col("_of") != norm_id("chunk_id")), "unknown_fragment", "handle and id disagree")
+    j = fail(j, F.col("chunk_handle").isNotNull() & F.col("chunk_id").isNotNull() & (F.col("_of") != any_id("chunk_id")), "unknown_fragment", "handle and id disagree")
     return fail(j, F.col("resolved_id").isNull(), "unknown_fragment", "nothing to resolve").drop("_w", "_h", "_of")
 
 
@@ -127,16 +127,25 @@ def judged(df: DataFrame, judge) -> DataFrame:
 def gate(df: DataFrame, fact_reason: str = "ungrounded_fact", interpretation_reason: str = "unsupported_interpretation") -> DataFrame:
     """grounded passes; partial passes flagged as an interpretation and fails as a fact; ungrounded fails."""
     v, fact = F.col("verdict"), F.col("tier") == "fact"
-    df = fail(df, fact & v.isin("partial", "ungrounded"), fact_reason)
-    df = fail(df, ~fact & (v == "ungrounded"), interpretation_reason)
+    more = [F.when(F.size("failing_values") > 0, F.concat(F.lit("failing_values="), F.to_json("failing_values")))] if "failing_values" in df.columns else []
+    more += [F.nullif(F.col("judge_reason"), F.lit(""))] if "judge_reason" in df.columns else []
+    why = F.concat_ws(" ", F.concat(F.lit("judge="), v), *more)
+    df = fail(df, fact & v.isin("partial", "ungrounded"), fact_reason, why)
+    df = fail(df, ~fact & (v == "ungrounded"), interpretation_reason, why)
     return df.withColumns({"ok": F.col("reason_code").isNull(), "flagged": F.col("reason_code").isNull() & (v == "partial")})
 
 
+def without_text(df: DataFrame) -> DataFrame:
+    """The hash of the source in place of its text, so that what is written before the judge carries no texts but the span."""
+    return df.withColumn("source_hash", sha256_text("source_text")).drop("source_text", "quote", "fid")
+
+
 def attest(df: DataFrame, judge_model: str, judge_version: str, at: str, text: str = "source_text", span: str = "evidence_span") -> DataFrame:
     """provenance_validation: verdict, judge, time of the run and hashes of span and source."""
+    source = F.col("source_hash") if "source_hash" in df.columns else sha256_text(text)
     failing = F.when(F.size("failing_values") > 0, F.col("failing_values"))
     return df.withColumn("provenance_validation", F.when(F.col("ok"), F.struct(
-        F.col("verdict"), F.lit(judge_model).alias("judge_model"), F.lit(judge_version).alias("judge_version"), F.lit(at).alias("validated_at"), sha256_text(span).alias("evidence_sha256"), sha256_text(text).alias("source_sha256"), failing.alias("failing_values"),
+        F.col("verdict"), F.lit(judge_model).alias("judge_model"), F.lit(judge_version).alias("judge_version"), F.lit(at).alias("validated_at"), sha256_text(span).alias("evidence_sha256"), source.alias("source_sha256"), failing.alias("failing_values"),
     )))
 
 
@@ -153,6 +162,6 @@ def tampered(records: DataFrame, frags: DataFrame) -> DataFrame:
 
 
 def entity_refs(actor: Column, actor_id: Column, date: Column, date_id: Column) -> Column:
-    """The actor's reference, then the date's."""
-    ref = lambda role, kind_, id_, c: F.when(F.length(c) > 0, F.struct(F.lit(role).alias("role"), id_.alias("entity_id"), F.lit(kind_).alias("entity_type"), c.alias("canonical")))
-    return F.array_compact(F.array(ref("actor", "actor", actor_id, normalize_actor(actor)), ref("event_date", "date", date_id, strip(date))))
+    """The actor's reference, then the date's, of each that is not empty as given."""
+    ref = lambda role, kind_, id_, given, c: F.when(F.length(given) > 0, F.struct(F.lit(role).alias("role"), id_.alias("entity_id"), F.lit(kind_).alias("entity_type"), c.alias("canonical")))
+    return F.array_compact(F.array(ref("actor", "actor", actor_id, actor, normalize_actor(actor)), ref("event_date", "date", date_id, date, strip(date))))

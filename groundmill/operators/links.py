@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from groundmill.common import norm_id
 from groundmill.functions.jsonx import kind
-from groundmill.functions.text import sha256_text, strip
+from groundmill.functions.text import normalize_type, sha256_text, strip
 from groundmill.operators.grounding import TIERS, fail
 
 # Relations known in advance; any other is accepted too.
-SEED_RELATIONS = ("same_event", "precedes", "follows", "causes", "results_from", "contradicts", "corroborates", "elaborates", "references")
+SEED_RELATIONS = ("precedes", "follows", "causes", "results_from", "corroborates", "contradicts", "elaborates", "same_event", "references")
 
 
 def first_problem(p: Column) -> Column:
@@ -39,6 +39,11 @@ def first_problem(p: Column) -> Column:
     return F.coalesce(*[F.when(bad, F.lit(what)) for bad, what in checks])
 
 
+def is_seed(relation: Column) -> Column:
+    """Whether a relation is of the vocabulary known in advance, spelled loosely."""
+    return F.coalesce(normalize_type(relation).isin(*SEED_RELATIONS), F.lit(False))
+
+
 def validate(df: DataFrame, payload: str = "payload") -> DataFrame:
     df = df.withColumn("_problem", first_problem(F.try_parse_json(F.col(payload))))
     return fail(df, F.col("_problem").isNotNull(), "schema_invalid", F.col("_problem")).drop("_problem")
@@ -74,6 +79,19 @@ def hashes(links: DataFrame) -> DataFrame:
     return links.withColumns({f"{side}_{what}_sha256": F.when(F.col("reason_code").isNull(), sha256_text(f"{side}_{col}")) for side in "ab" for what, col in (("evidence", "evidence"), ("source", "text"))})
 
 
+LINK = ["link_id", "record_a", "record_b", "relation", "tier", "evidence", "confidence", "provenance_validation", "event_entity", "flagged", "created"]
+
+
+def attest(links: DataFrame, judge_model: str, judge_version: str, at: str) -> DataFrame:
+    """provenance_validation with all four hashes, and evidence with the spans and the fragments they were cut from."""
+    e = F.from_json("evidence", "a_span array<int>, b_span array<int>")
+    whole = F.to_json(F.struct(e["a_span"].alias("a_span"), e["b_span"].alias("b_span"), F.col("a_chunk").alias("a_source_chunk_id"), F.col("b_chunk").alias("b_source_chunk_id")))
+    hashes_ = [F.col(f"{side}_{what}_sha256") for what in ("evidence", "source") for side in "ab"]
+    failing = F.when(F.size("failing_values") > 0, F.col("failing_values"))
+    stamp = F.struct(F.col("verdict"), F.lit(judge_model).alias("judge_model"), F.lit(judge_version).alias("judge_version"), F.lit(at).alias("validated_at"), *hashes_, failing.alias("failing_values"))
+    return links.withColumns({"evidence": F.when(F.col("ok"), whole), "provenance_validation": F.when(F.col("ok"), stamp)})
+
+
 def symmetric(links: DataFrame) -> DataFrame:
     """Direction taken out, for counting."""
     a, b = norm_id("record_a"), norm_id("record_b")

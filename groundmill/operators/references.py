@@ -28,18 +28,13 @@ def orphans(refs: DataFrame, targets: DataFrame, keys: list[str], match: str = "
     """The rows of ``refs`` whose key columns name no row of ``targets`` (columns of the same names)."""
     if match not in MATCH:
         raise ValueError(f"match must be one of {MATCH}")
-    full = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    some = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in keys])
-    if match == "simple":
-        return _absent(refs.filter(full), targets, keys)
-    if match == "full":
-        return _absent(refs.filter(full), targets, keys).unionByName(refs.filter(some & ~full))
     parts = []
     for mask in product((True, False), repeat=len(keys)):
         held = [k for k, there in zip(keys, mask, strict=True) if there]
-        if held:
-            of_mask = reduce(lambda a, b: a & b, [F.col(k).isNotNull() if there else F.col(k).isNull() for k, there in zip(keys, mask, strict=True)])
-            parts.append(_absent(refs.filter(of_mask), targets, held))
+        if not held or match == "simple" and not all(mask):
+            continue  # not checked under these semantics
+        of_mask = refs.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() if there else F.col(k).isNull() for k, there in zip(keys, mask, strict=True)]))
+        parts.append(of_mask if match == "full" and not all(mask) else _absent(of_mask, targets, held))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -17,6 +17,7 @@ import calendar
 import datetime as dt
 import re
 import zoneinfo
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -42,7 +43,8 @@ MONTHS = {
 }
 #: Share of the posterior from which a reading counts as decided.
 DECIDED = 0.95
-EM_ROUNDS = 60
+#: The mixture is iterated until no weight moves by more than this.
+EM_STEP = 1e-12
 #: Offices are a small dimension; more than this many are refused rather than collected.
 MAX_SOURCES = 100_000
 
@@ -169,7 +171,8 @@ def _read_series(values: pd.Series) -> pd.DataFrame:
         if v not in read:
             s = _BLANKS.sub(" ", v).strip()
             got = read_value(s)
-            shape = "count" if got[4] is not None else "partial" if got[3] else _DIGITS.sub("9", _LETTERS.sub("a", s))[:40]
+            # only what can be read has a shape, so there are as many shapes as the formats allow
+            shape = None if got == _UNREAD else "count" if got[4] is not None else "partial" if got[3] else _DIGITS.sub("9", _LETTERS.sub("a", s))
             read[v] = (shape, *got)
         rows.append(read[v])
     out = pd.DataFrame(rows, columns=_FIELDS, dtype=object)
@@ -187,19 +190,25 @@ def _em(counts: pd.DataFrame) -> pd.DataFrame:
     declared = counts["declared"].iloc[0]
     prior = np.array([1.0, 1.0]) if declared not in ("MDY", "DMY") else np.array([declared == "MDY", declared == "DMY"], float)
     theta = prior / prior.sum()
-    post = np.zeros(len(n))
-    for _ in range(EM_ROUNDS):
+
+    def expect(theta: np.ndarray) -> np.ndarray:
         like = np.stack([mdy * theta[0], dmy * theta[1]])
         total = like.sum(0)
-        post = np.divide(like[0], total, out=np.zeros(len(n)), where=total > 0)
-        seen = total > 0
-        grown = np.array([(n * post)[seen].sum(), (n * (1 - post))[seen].sum()]) + 0.5
-        new = grown * (prior > 0)
-        new /= new.sum()
-        if abs(new - theta).max() < 1e-12:
-            theta = new
-            break
-        theta = new
+        return np.divide(like[0], total, out=np.zeros(len(n)), where=total > 0)
+
+    def step(theta: np.ndarray) -> np.ndarray:
+        post, seen = expect(theta), (mdy & (theta[0] > 0)) | (dmy & (theta[1] > 0))
+        new = (np.array([(n * post)[seen].sum(), (n * (1 - post))[seen].sum()]) + 0.5) * (prior > 0)
+        return new / new.sum()
+
+    # to the fixed point whatever the share of ambiguous values, which slows plain rounds without end: each round is two
+    # steps and the limit that their ratio points to
+    while abs((one := step(theta)) - theta).max() > EM_STEP:
+        two = step(one)
+        bend = two[0] - 2 * one[0] + theta[0]
+        far = theta[0] - (one[0] - theta[0]) ** 2 / bend if bend else two[0]
+        theta = np.array([far, 1 - far]) if 0 < far < 1 else two
+    post = expect(theta)
     out = counts[["source", "shape", "mdy", "dmy"]].copy()
     out["p_mdy"], out["weight"], out["n"] = post, n / max(n.sum(), 1.0), counts["n"]
     out["readable"] = np.stack([mdy * theta[0], dmy * theta[1]]).sum(0) > 0
@@ -248,7 +257,7 @@ def normalise_times(values: DataFrame, offices: DataFrame, value: str = "event_d
     renamed = values.withColumnsRenamed(clash)
     read = read_values(renamed, offices, clash[value], clash[source], use_declared)
     em = mixtures(read)
-    em = em.filter(F.col("mdy") | F.col("dmy")).select(F.col("source").alias("_m_source"), F.col("shape").alias("_m_shape"), F.col("mdy").alias("_m_mdy"), F.col("dmy").alias("_m_dmy"), "p_mdy", "readable")
+    em = durable(em.filter(F.col("mdy") | F.col("dmy")).select(F.col("source").alias("_m_source"), F.col("shape").alias("_m_shape"), F.col("mdy").alias("_m_mdy"), F.col("dmy").alias("_m_dmy"), "p_mdy", "readable"))
     r = lambda name: F.col(f"_r.{name}")
     has_mdy, has_dmy = r("mdy").isNotNull(), r("dmy").isNotNull()
     joined = read.join(broadcast_if_small(em), F.col("_source").eqNullSafe(F.col("_m_source")) & (r("shape") == F.col("_m_shape")) & (has_mdy == F.col("_m_mdy")) & (has_dmy == F.col("_m_dmy")), "left")
@@ -275,7 +284,8 @@ def normalise_times(values: DataFrame, offices: DataFrame, value: str = "event_d
     chosen = chosen.withColumns({
         "_us": F.coalesce(r("epoch_us"), F.col("_naive") - F.col("_off").cast("bigint") * 1_000_000, F.col("_local")),
         "_back": F.unix_micros(F.from_utc_timestamp(F.timestamp_micros("_local"), F.col("_at"))),
-        "_later": F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(F.col("_local") + 3_600_000_000), F.col("_at"))),
+        # clocks go back by an hour, here and there by half an hour or two
+        "_twice": reduce(lambda x, y: x | y, [F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(F.col("_local") + s * 1_000_000), F.col("_at"))) == F.col("_naive") for s in (1800, 3600, 7200)]),
         "_timed": r("time_us").isNotNull() | r("epoch_us").isNotNull(),
     })
     chosen = chosen.withColumn("_secs", F.floor(F.col("_us") / 1_000_000).cast("bigint"))
@@ -290,6 +300,6 @@ def normalise_times(values: DataFrame, offices: DataFrame, value: str = "event_d
         "event_norm": norm,
         "precision": F.when(norm.isNull(), F.lit(None)).when(F.col("_timed"), "instant").when(F.length(norm) == 10, "day").when(F.length(norm) == 7, "month").otherwise("year"),
         "p_reading": F.when(has_mdy | has_dmy, F.col("_sure")).when(norm.isNotNull(), F.lit(1.0)),
-        "ambiguity": F.when(F.col("_open"), "date_order").when(F.col("_back") != F.col("_naive"), "skipped_hour").when(F.col("_later") == F.col("_naive"), "repeated_hour").otherwise("none"),
+        "ambiguity": F.when(F.col("_open"), "date_order").when(F.col("_back") != F.col("_naive"), "skipped_hour").when(F.col("_twice"), "repeated_hour").otherwise("none"),
     }
     return out.select(*[F.col(new).alias(old) for old, new in clash.items() if old not in added], *[c.alias(n) for n, c in added.items()])

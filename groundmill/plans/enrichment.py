@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from groundmill.common import norm_id, table
 from groundmill.functions import jsonx, text
-from groundmill.operators import entities, events, grounding, judges, links, passes, scoring
+from groundmill.operators import entities, events, grounding, judges, links, passes, ranking, scoring, substance
 from groundmill.sources import corpus, sinks
 
 Q: dict = {}
@@ -97,7 +97,7 @@ def normalised_types(spark, d):
     return table(spark, d, "enrichment_records").groupBy("record_type").agg(F.count("*").alias("n")).withColumn("norm", text.normalize_type("record_type"))
 
 
-@query("clean_keywords", f"WITH w AS (SELECT DISTINCT {_N('chunk_id')} AS chunk_id, unnest(string_split_regex(text, '{_B}+')) AS k FROM fragments WHERE text IS NOT NULL), c AS (SELECT chunk_id, {_COLLAPSE('lower(k)')} AS k FROM w) SELECT chunk_id, list_sort(list(DISTINCT k)) AS keywords FROM c WHERE length(k) >= 2 AND k NOT IN ('the','a','an','and','or','of','to','in','for','on','with','is','it') GROUP BY 1")
+@query("clean_keywords", f"WITH w AS (SELECT DISTINCT {_N('chunk_id')} AS chunk_id, unnest(string_split_regex(text, '{_B}+')) AS k FROM fragments WHERE text IS NOT NULL), c AS (SELECT chunk_id, {_COLLAPSE('lower(k)')} AS k FROM w) SELECT chunk_id, list_sort(list(DISTINCT k)) AS keywords FROM c WHERE length(k) >= 2 AND k NOT IN ('the','a','an','and','or','of','to','in','on','for','n/a','none','-') GROUP BY 1")
 def clean_keywords(spark, d):
     words = _fragments(spark, d).select("chunk_id", F.split("text", rf"(?U){text.BLANK}+").alias("keywords"))
     return passes.clean_chunks(words).select("chunk_id", F.col("cleaned").alias("keywords")).filter(F.size("keywords") > 0)
@@ -146,7 +146,7 @@ def located(spark: SparkSession, d: str) -> DataFrame:
 
 def grounded(spark: SparkSession, d: str) -> DataFrame:
     """Attempts: every proposal with its outcome."""
-    return grounding.gate(grounding.judged(grounding.cut(located(spark, d)), _replay))
+    return grounding.gate(grounding.judged(grounding.without_text(grounding.cut(located(spark, d))), _replay))
 
 
 _LOCATED_SQL = f"""
@@ -204,17 +204,22 @@ def claims(spark, d):
 
 
 @query("payload_validation", """WITH p AS (SELECT DISTINCT ON (proposal_id) * FROM extraction_proposals), h AS (SELECT *, md5(proposal_id)[2] AS x FROM p)
-SELECT CASE WHEN x = '0' THEN 'evidence_span is set by code' WHEN x = '1' THEN 'record_type must be text' WHEN x = '2' THEN 'tier must be fact or interpretation' WHEN x = '3' THEN 'char_start must be a whole number'
+SELECT CASE WHEN x = '0' THEN ['evidence_span', 'page', 'document', 'provenance_validation', 'source_sha256', 'evidence_sha256', 'source_chunk_id'][1 + ascii(md5(proposal_id)[4]) % 7] || ' is set by code' WHEN x = '1' THEN 'record_type must be text' WHEN x = '2' THEN 'tier must be fact or interpretation' WHEN x = '3' THEN 'char_start must be a whole number'
  WHEN x = '4' THEN 'confidence must be a number from 0 to 1' ELSE 'valid' END AS problem, count(*) AS n FROM h GROUP BY 1""")
 def payload_validation(spark, d):
-    """Payloads made of proposals, some broken by a digit of the id's md5."""
+    """Payloads made of proposals, some broken by a digit of the id's md5: each column that code owns is forged in turn, sometimes
+    with a null; some leave out fields, and a few carry columns that a model may send."""
     x = F.substring(F.md5("proposal_id"), 2, 1)
     s = F.struct(
-        F.when(x == "0", "forged").alias("evidence_span"), F.when(x == "1", " ").otherwise(F.col("record_type")).alias("record_type"), F.when(x == "2", "guess").otherwise(F.col("tier")).alias("tier"),
+        F.lit("r").alias("record_id"), F.when(x == "1", " ").otherwise(F.col("record_type")).alias("record_type"), F.when(x == "2", "guess").otherwise(F.col("tier")).alias("tier"),
         F.lit(9).alias("char_end"), F.when(x == "4", 1.5).otherwise(F.col("confidence")).alias("confidence"), "actor", "event_date",
     )
     start = F.when(x == "3", '"char_start": "0", ').otherwise('"char_start": 0, ')
-    payload = F.concat(F.lit("{"), start, F.lit('"fields": '), "fields", F.lit(", "), F.expr("substring(_j, 2)"))
+    y = F.substring(F.md5("proposal_id"), 4, 1)
+    owned = F.array(*[F.lit(k) for k in ("evidence_span", "page", "document", "provenance_validation", "source_sha256", "evidence_sha256", "source_chunk_id")])
+    forged = F.when(x == "0", F.concat(F.lit('"'), F.element_at(owned, (F.ascii(y) % 7 + 1).cast("int")), F.when(y.isin("0", "1"), '": null, ').otherwise('": "forged", '))).otherwise("")
+    fields = F.when(y == "5", "").otherwise(F.concat(F.lit('"fields": '), "fields", F.lit(", ")))
+    payload = F.concat(F.lit("{"), start, forged, fields, F.expr("substring(_j, 2)"))
     p = _proposals(spark, d).withColumn("_j", F.to_json(s)).withColumn("payload", payload)
     return grounding.validate(grounding.begin(p)).groupBy(F.coalesce("detail", F.lit("valid")).alias("problem")).agg(F.count("*").alias("n"))
 
@@ -243,7 +248,7 @@ def _surfaces(spark: SparkSession, d: str) -> DataFrame:
 
 @query("entities", f"""WITH r AS (SELECT DISTINCT ON (record_id) record_id, actor, event_date, created FROM enrichment_records),
 s AS (SELECT 'actor' AS entity_type, actor AS surface, {_COLLAPSE('actor')} AS canonical, record_id, created FROM r WHERE actor <> '' UNION ALL SELECT 'date', event_date, {_STRIP('event_date')}, record_id, created FROM r WHERE event_date <> ''),
-u AS (SELECT entity_type, canonical, surface, min({{'c': created, 'r': record_id}}) AS f FROM s WHERE canonical <> '' GROUP BY ALL)
+u AS (SELECT entity_type, canonical, surface, min({{'c': created, 'r': record_id}}) AS f FROM s GROUP BY ALL)
 SELECT entity_type, canonical, min(f).r AS first_seen_record, coalesce(list(surface ORDER BY f) FILTER (surface <> canonical), []) AS aliases FROM u GROUP BY ALL""")
 def entities_query(spark, d):
     return entities.resolve_or_create(_surfaces(spark, d)).select("entity_type", "canonical", "first_seen_record", "aliases")
@@ -381,7 +386,7 @@ def _attempts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("scorecard", _ATTEMPT_SQL + f""", {_EDGES}, s AS (SELECT DISTINCT ON (record_id) * FROM enrichment_records), t AS (SELECT count(*) AS proposals, count(*) FILTER (hit) AS located, count(*) FILTER (reason_code IS NULL) AS records, count(DISTINCT chunk_id) AS chunks_with_proposals, count(*) FILTER (hit) AS judged FROM a),
 u AS (SELECT count(*) AS stored, count(*) FILTER (provenance_validation.verdict = 'grounded') AS grounded, count(*) FILTER (flagged) AS flagged FROM s), x AS (SELECT count(*) AS cross_context_entities FROM (SELECT entity_id FROM e GROUP BY 1 HAVING count(DISTINCT chunk_id) >= 2))
-SELECT *, 0::BIGINT AS chunks_empty, proposals - located AS locate_miss, round(grounded / located, 4) AS pass_rate, round(stored / proposals, 4) AS yield_rate, round(chunks_with_proposals / 2.0, 2)::DOUBLE AS chunks_per_minute, round(stored / 2.0, 2)::DOUBLE AS records_per_minute FROM t, u, x""")
+SELECT *, 0::BIGINT AS chunks_empty, proposals - located AS locate_miss, round(grounded / located, 4) AS pass_rate, round(stored / proposals, 4) AS yield_rate, round(chunks_with_proposals / 2.0, 2)::DOUBLE AS chunks_per_minute, round(stored / 2.0, 2)::DOUBLE AS records_per_minute, chunks_with_proposals AS chunks_seen, 120.0::DOUBLE AS wall_seconds FROM t, u, x""")
 def scorecard(spark, d):
     r = _records(spark, d).withColumn("verdict", F.col("provenance_validation.verdict"))
     return scoring.scorecard(_attempts(spark, d), r, wall_s=120.0)
@@ -425,10 +430,25 @@ def consolidated_types(spark, d):
     return passes.consolidate(vocab, spark.createDataFrame([("benefit_payment", "Payment"), ("document_received", "receipt")], "raw string, canonical string"))
 
 
-@query("meaning_rank", "WITH q AS (SELECT embedding AS q FROM embeddings ORDER BY vec_id LIMIT 1) SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], q::DOUBLE[]), 6) AS cosine FROM embeddings, q")
+#: The number that a uuid's 32 hex digits are, modulo 100: queries of the rank are the rows where it is 0.
+_MOD_SQL = "(76 * (('0x' || substr(h, 1, 2))::BIGINT % 100) + 76 * (('0x' || substr(h, 3, 15))::BIGINT % 100) + ('0x' || substr(h, 18, 15))::BIGINT % 100) % 100 = 0"
+
+
+@query("meaning_rank", f"""WITH m AS (SELECT DISTINCT ON (id) {_N('meaning_id')} AS id, embedding::DOUBLE[] AS v FROM enrichment_meaning WHERE len(embedding) > 0 AND list_max(embedding) - list_min(embedding) + abs(list_max(embedding)) > 0), h AS (SELECT id, v, replace(id, '-', '') AS h FROM m),
+c AS (SELECT q.id AS query, m.id, round(list_cosine_similarity(m.v, q.v), 6) AS cosine FROM m JOIN (SELECT id, v FROM h WHERE {_MOD_SQL}) q ON len(m.v) = len(q.v)), n AS (SELECT *, (row_number() OVER (PARTITION BY query ORDER BY cosine DESC, id))::INT AS rank FROM c) SELECT * FROM n WHERE rank <= 10""")
 def meaning_rank(spark, d):
-    e = table(spark, d, "embeddings")
-    return scoring.rank_by_cosine(e, "vec_id", "embedding", F.lit(True))
+    """The ten meanings nearest to each whose id is divisible by 100, with their rank."""
+    m = table(spark, d, "enrichment_meaning").select(norm_id("meaning_id").alias("id"), "embedding")
+    digits = F.replace("id", F.lit("-"), F.lit(""))
+    part = lambda at, n: F.conv(F.substring(digits, at, n), 16, 10).cast("bigint") % 100
+    return ranking.rank_by_cosine(m.filter((76 * part(1, 2) + 76 * part(3, 15) + part(18, 15)) % 100 == 0), m, "id", "embedding", 10)
+
+
+@query("vector_rank", "WITH c AS (SELECT q.vec_id AS query, e.vec_id AS id, round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS cosine FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0), n AS (SELECT *, (row_number() OVER (PARTITION BY query ORDER BY cosine DESC, id))::INT AS rank FROM c) SELECT * FROM n WHERE rank <= 10")
+def vector_rank(spark, d):
+    """The same over the table of embeddings."""
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return ranking.rank_by_cosine(e.filter("vec_id % 100 = 0"), e, "vec_id", "embedding", 10)
 
 
 @query("export_check", f"WITH {_FRAG}, r AS (SELECT DISTINCT ON (record_id) * FROM enrichment_records) SELECT record_id, provenance_validation.verdict AS verdict, CASE WHEN substring(coalesce(f.text, ''), char_start + 1, char_end - char_start) = evidence_span THEN 'OK' ELSE 'MISMATCH!' END AS slice_check FROM r LEFT JOIN frag f ON {_N('r.source_chunk_id')} = f.chunk_id")
@@ -450,4 +470,68 @@ def heartbeat(spark, d):
     return beat(e, "1 hour")
 
 
+@query("entity_refs_built", f"""WITH r AS (SELECT DISTINCT ON (record_id) record_id, actor, event_date FROM enrichment_records), u AS (
+SELECT record_id, 0 AS n, 'actor' AS role, 'actor' AS entity_type, {_COLLAPSE('actor')} AS canonical FROM r WHERE actor <> '' UNION ALL SELECT record_id, 1, 'event_date', 'date', {_STRIP('event_date')} FROM r WHERE event_date <> '')
+SELECT record_id, row_number() OVER (PARTITION BY record_id ORDER BY n) - 1 AS place, role, entity_type, canonical, md5(concat_ws(chr(31), entity_type, canonical)) AS id FROM u""")
+def entity_refs_built(spark, d):
+    """References that every record would be written with: its actor, then its date."""
+    who, when = text.normalize_actor("actor"), text.strip("event_date")
+    refs = grounding.entity_refs(F.col("actor"), entities.content_id(F.lit("actor"), who), F.col("event_date"), entities.content_id(F.lit("date"), when))
+    e = _records(spark, d).select("record_id", F.posexplode(refs).alias("place", "r"))
+    return e.select("record_id", F.col("place").cast("bigint").alias("place"), "r.role", "r.entity_type", "r.canonical", F.replace("r.entity_id", F.lit("-"), F.lit("")).alias("id"))
+
+
+@query("records_by_chunk", f"SELECT {_N('source_chunk_id')} AS chunk_id, count(*) AS records, string_agg({_N('record_id')}, ' ' ORDER BY char_start, {_N('record_id')}) AS ids FROM (SELECT DISTINCT ON (record_id) * FROM enrichment_records) WHERE source_chunk_id IS NOT NULL GROUP BY 1")
+def records_by_chunk(spark, d):
+    """Records of each chunk in order of place."""
+    r = entities.by_chunk(_records(spark, d), [norm_id("record_id").alias("record_id")])
+    return r.select("chunk_id", F.size("records").cast("bigint").alias("records"), F.array_join(F.transform("records", lambda x: x["record_id"]), " ").alias("ids"))
+
+
+@query("record_lookup", f"WITH r AS (SELECT DISTINCT ON ({_N('record_id')}) {_N('record_id')} AS id, record_type FROM enrichment_records) SELECT l.link_id, r.id AS record_id, r.record_type FROM (SELECT DISTINCT link_id, record_a FROM enrichment_links) l LEFT JOIN r ON {_N('l.record_a')} = r.id")
+def record_lookup(spark, d):
+    """The first record of every link, by its id in whatever spelling."""
+    got = sinks.get_record(_records(spark, d).select("record_id", "record_type"), _links(spark, d).select("link_id", "record_a"), "record_a")
+    return got.select("link_id", norm_id("r_record_id").alias("record_id"), F.col("r_record_type").alias("record_type"))
+
+
+@query("seed_relations", "SELECT norm AS relation, norm IN ('precedes', 'follows', 'causes', 'results_from', 'corroborates', 'contradicts', 'elaborates', 'same_event', 'references') AS seed, count(*) AS n FROM (SELECT DISTINCT link_id, regexp_replace(regexp_replace(lower(relation), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS norm FROM enrichment_links) GROUP BY ALL")
+def seed_relations(spark, d):
+    """Relations in use and whether they are of the vocabulary known in advance."""
+    return _links(spark, d).groupBy(text.normalize_type("relation").alias("relation"), links.is_seed(F.col("relation")).alias("seed")).agg(F.count("*").alias("n"))
+
+
+@query("relation_terms", "SELECT DISTINCT regexp_replace(regexp_replace(lower(relation), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS term FROM enrichment_links")
+def relation_terms(spark, d):
+    """The vocabulary of relations, by chunk lists as a pass gives them."""
+    return passes.vocabulary(_links(spark, d).select(F.array(text.normalize_type("relation")).alias("terms")), "terms")
+
+
+@query("claim_haystack", "SELECT DISTINCT record_id, lower(concat_ws(' ', coalesce(evidence_span, ''), coalesce(fields, ''), coalesce(claim_relevance, ''), coalesce(actor, ''), coalesce(event_date, ''))) AS hay FROM enrichment_records")
+def claim_haystack(spark, d):
+    return _records(spark, d).select("record_id", text.haystack(*[F.col(c) for c in ("evidence_span", "fields", "claim_relevance", "actor", "event_date")]).alias("hay"))
+
+
+@query("meaning_substance", r"""WITH m AS (SELECT DISTINCT ON (meaning_id) meaning_id, claim_meaning AS t FROM enrichment_meaning)
+SELECT meaning_id, coalesce(regexp_matches(t, '(?i)\b(?:this|the) (?:passage|document|chunk|text|excerpt|section|page) (?:is|describes?|discusses?|mentions?|contains?|provides?|outlines?|states?)\b'), false) AS of_itself,
+len(list_distinct(regexp_extract_all(coalesce(t, ''), '\b(?:[A-Z][0-9A-Za-z_''’-]+(?: [A-Z][0-9A-Za-z_''’-]+)+|\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{2,4})')))::INT AS hooks FROM m""")
+def meaning_substance(spark, d):
+    """Meanings that speak of themselves, and how many names and dates each has that no entity is known for."""
+    m = table(spark, d, "enrichment_meaning").dropDuplicates(["meaning_id"])
+    return m.select("meaning_id", substance.speaks_of_itself(F.col("claim_meaning")).alias("of_itself"), F.size(substance.unresolved_hooks(F.col("claim_meaning"), F.lit(None).cast("array<string>"))).alias("hooks"))
+
+
+@query("gold_note", """WITH h AS (SELECT DISTINCT record_id, lower(concat_ws(' ', coalesce(evidence_span, ''), coalesce(fields, ''), coalesce(claim_relevance, ''), coalesce(actor, ''), coalesce(event_date, ''))) AS hay FROM enrichment_records
+ WHERE provenance_validation.verdict = 'grounded' AND lower(source_chunk_id) = (SELECT min(lower(source_chunk_id)) FROM enrichment_records WHERE provenance_validation.verdict = 'grounded' AND lower(evidence_span) LIKE '%reversed%'))
+SELECT coalesce(bool_or(contains(hay, 'reversed the earlier')), false) AS smoking_gun, min(CASE WHEN contains(hay, 'reversed the earlier') AND contains(hay, 'approval') THEN record_id END) AS record_id FROM h""")
+def gold_note(spark, d):
+    """The decisive record of one chunk: the first chunk whose records tell of a reversal stands for the gold note."""
+    r = _records(spark, d)
+    fine = r.filter((F.col("provenance_validation.verdict") == "grounded") & F.lower("evidence_span").contains("reversed"))
+    gold = fine.agg(F.min(F.lower("source_chunk_id")).alias("_gold"))  # one row
+    here = r.crossJoin(F.broadcast(gold)).filter(F.lower("source_chunk_id") == F.col("_gold")).withColumn("source_chunk_id", F.lit("gold"))
+    found = scoring.smoking_gun(here, "gold", "reversed", ("reversed the earlier",), ("approval",))
+    return found.select("smoking_gun", F.col("smoking_gun_detail.record_id").alias("record_id"))
+
+
 QUERIES, ORACLES = Q, SQL

@@ -44,7 +44,7 @@ def found_references(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("enrichment_records").alias("source_table"), norm_id("record_id").alias("row_key"), month.alias("period"),
         F.explode(F.transform("entity_refs", lambda x: F.struct(F.lit("entity_refs").alias("ref_field"), F.lit("entity").alias("kind"), norm_id(x["entity_id"]).alias("key")))).alias("r"),
     )
-    return links.unionByName(entities).unionByName(records).select("source_table", "row_key", "period", "r.*").filter(F.col("key").isNotNull())
+    return links.unionByName(entities).unionByName(records).select("source_table", "row_key", "period", "r.*")
 
 
 def reference_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +57,22 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("source_table", "row_key", "ref_field", F.col("key").alias("missing_key"), "period").distinct()
 
 
+def place_references(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Records refer to a place in a file, (document, page), of which either may be unknown; targets are the places of fragments."""
+    refs = table(spark, sf_dir, "enrichment_records").select(norm_id("record_id").alias("record_id"), "document", "page").dropDuplicates(["record_id"])
+    return refs, table(spark, sf_dir, "fragments").select("document", "page")
+
+
+def p5_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphan places under partial match: what is known of the place must agree with some fragment."""
+    return references.orphans(*place_references(spark, sf_dir), ["document", "page"], "partial")
+
+
+def p5_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphan places under full match: a place known in part is an orphan at once."""
+    return references.orphans(*place_references(spark, sf_dir), ["document", "page"], "full")
+
+
 def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return references.report(p5_found(spark, sf_dir))
 
@@ -79,8 +95,11 @@ WITH refs AS (
   FROM refs r WHERE key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM targets t WHERE t.kind = r.kind AND t.key = r.key)
 )
 """
-QUERIES = {"p2_found": p2_found, "p2_ambiguity": p2_ambiguity, "p5_found": p5_found, "p5_report": p5_report}
+_PLACES = f"WITH r AS (SELECT DISTINCT ON (record_id) {_N('record_id')} AS record_id, document, page FROM enrichment_records)"
+QUERIES = {"p2_found": p2_found, "p2_ambiguity": p2_ambiguity, "p5_found": p5_found, "p5_report": p5_report, "p5_partial": p5_partial, "p5_full": p5_full}
 ORACLES = {
+    "p5_partial": _PLACES + " SELECT * FROM r WHERE coalesce(document, page::VARCHAR) IS NOT NULL AND NOT EXISTS (SELECT 1 FROM fragments f WHERE (r.document IS NULL OR f.document = r.document) AND (r.page IS NULL OR f.page = r.page))",
+    "p5_full": _PLACES + " SELECT * FROM r WHERE (document IS NULL) <> (page IS NULL) OR document IS NOT NULL AND page IS NOT NULL AND NOT EXISTS (SELECT 1 FROM fragments f WHERE f.document = r.document AND f.page = r.page)",
     "p5_found": _P5 + "SELECT * FROM found",
     "p5_report": _P5 + "SELECT source_table, ref_field, period, count(*) AS orphan_refs, count(DISTINCT missing_key) AS missing_keys FROM found GROUP BY ALL",
 }

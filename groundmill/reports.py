@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from groundmill.sources import sinks
 
 COLUMNS = ["proposals", "located", "stored", "grounded", "flagged", "pass_rate", "yield_rate", "chunks_with_proposals", "chunks_empty", "cross_context_entities", "chunks_per_minute", "records_per_minute"]
 
@@ -21,6 +23,20 @@ def scorecard_table(cards: dict[str, DataFrame]) -> str:
     return "\n".join(lines) + "\n"
 
 
+CARD = ["label", "candidate_model", "proposals", "located", "locate_miss", "stored", "grounded", "flagged", "pass_rate", "yield_rate", "cross_context_entities", "smoking_gun", "chunks_seen", "chunks_missing", "chunks_with_proposals", "chunks_empty", "chunks_per_minute", "records_per_minute", "wall_seconds", "extract_errors"]
+
+
+def runs_report(spark: SparkSession, pattern: str) -> str:
+    """All scorecards that the pattern names: a row for each run, then each in detail."""
+    cards = [r.asDict() for r in sinks.scorecards(spark, pattern, CARD).orderBy("label").collect()]  # a row for each run
+    out = ["# Runs", "", "| run | model | pass rate | coverage | cross-context | decisive note | pace |", "|---|---|---|---|---|---|---|"]
+    for c in cards:
+        out.append(f"| {_cell(c['label'])} | {_cell(c['candidate_model'])} | {c['pass_rate']:.0%} ({c['grounded']}/{c['located']}) | {c['chunks_with_proposals']}/{c['chunks_seen']} | {c['cross_context_entities']} | {'yes' if c['smoking_gun'] else 'no'} | {c['chunks_per_minute']:.1f} chunks, {c['records_per_minute']:.1f} records a minute |")
+    for c in cards:
+        out += ["", f"### {_cell(c['label'])}", *(f"- {k}: {_cell(c[k])}" for k in CARD[1:])]
+    return "\n".join(out if cards else [*out, "| none yet | | | | | | |"]) + "\n"
+
+
 def review(reviewed: DataFrame, vocabulary: DataFrame | None = None, chunks: int | None = None, terms: int = 40) -> str:
     """A section for every chunk of ``passes.review``, or the first ``chunks`` and how many are left out, and the first
     terms of the vocabulary, for reading by eye."""

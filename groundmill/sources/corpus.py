@@ -10,8 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundmill.common import broadcast_if_small, norm_id
-from groundmill.functions.text import is_uuid, page_range
+from groundmill.common import broadcast_if_small, norm_id, running
+from groundmill.functions.text import any_id, page_range, uuid_key
 
 FRAGMENT = ["chunk_id", "text", "document", "page", "chunk_type", "segment_index"]
 
@@ -29,7 +29,7 @@ def fragments_of_payload(corpus: DataFrame) -> DataFrame:
 
 def lookup(ids: DataFrame, frags: DataFrame, column: str = "chunk_id") -> DataFrame:
     """Each asked id with its fragment; malformed ids are not looked up."""
-    asked = ids.withColumn("_key", F.when(is_uuid(column), norm_id(column)))
+    asked = ids.withColumn("_key", uuid_key(column))
     got = frags.withColumnsRenamed({c: f"f_{c}" for c in frags.columns})
     return asked.join(got, F.col("_key") == F.col("f_chunk_id"), "left").withColumn("found", F.col("f_chunk_id").isNotNull()).drop("_key")
 
@@ -39,7 +39,7 @@ def neighbours(anchors: DataFrame, frags: DataFrame, window: int = 1, order: str
     are cut into bands as wide as the window, and a fragment is sent to the bands it can lie in: an
     equi join, which a huge document does not gather in one task."""
     span = max(window, 0) * 2 + 1
-    base = frags.join(anchors.select(norm_id("chunk_id").alias("chunk_id")).distinct(), "chunk_id", "left_semi")
+    base = frags.join(anchors.select(any_id("chunk_id").alias("chunk_id")).distinct(), "chunk_id", "left_semi")
     a = base.select(F.col("chunk_id").alias("anchor_id"), F.col("document").alias("_doc"), F.col(order).alias("_at"), F.floor(F.col(order) / span).alias("_band")).filter(F.lit(window >= 0))
     b = frags.withColumn("_in", F.explode(F.array_distinct(F.array(*[F.floor((F.col(order) + d) / span) for d in (-window, 0, window)]))))
     near = F.col(order).between(F.col("_at") - window, F.col("_at") + window)
@@ -56,9 +56,13 @@ def in_pages(frags: DataFrame, lo: Column | int, hi: Column | int) -> DataFrame:
 
 
 def in_file_pages(frags: DataFrame, names: DataFrame) -> DataFrame:
-    """Fragments of the page ranges that file names give, with the name as source; few names against the corpus."""
+    """Fragments of the page ranges that file names give, with the name as source. A range is cut at the corpus' last page
+    and taken apart into its pages, so both sides meet in an equi join, of any number of names."""
     asked = names.select("name", page_range("name").alias("r")).filter("r.lo IS NOT NULL")
-    return frags.join(F.broadcast(asked.limit(100_000)), F.col("page").between(F.col("r.lo"), F.col("r.hi"))).withColumn("source", F.concat(F.lit("pdf:"), "name")).drop("name", "r")
+    last = frags.agg(F.max("page").alias("_last"))  # one row
+    asked = asked.crossJoin(F.broadcast(last)).withColumn("_hi", F.least("r.hi", "_last")).filter("r.lo <= _hi")
+    pages = asked.select("name", F.explode(F.sequence("r.lo", "_hi")).alias("page"))
+    return frags.join(pages, "page").withColumn("source", F.concat(F.lit("pdf:"), "name")).drop("name").select(*frags.columns, "source")
 
 
 def listed_ids(lines: DataFrame, strip_first: bool = True) -> DataFrame:
@@ -94,5 +98,5 @@ def first_seen_handles(mentions: DataFrame) -> DataFrame:
     """Handles F1, F2 … of fragments in the order in which a workstream first saw them. ``mentions``: workstream,
     chunk_id, ordinal."""
     first = mentions.groupBy("workstream", "chunk_id").agg(F.min("ordinal").alias("first"))
-    n = F.row_number().over(Window.partitionBy("workstream").orderBy("first", "chunk_id"))
-    return first.withColumn("handle", F.concat(F.lit("F"), n.cast("string")))
+    n = running(first, ["workstream"], ["first", "chunk_id"], {"n": F.lit(1)})
+    return n.withColumn("handle", F.concat(F.lit("F"), F.col("n").cast("string"))).drop("n")

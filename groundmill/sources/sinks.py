@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundmill.common import norm_id
+from groundmill.functions.text import uuid_key
 
+# What a label and an identifier may be.
 LABEL = re.compile(r"^[a-z0-9_]{1,40}$")
 IDENTIFIER = re.compile(r"^[a-z_][a-z0-9_]*$")
 
@@ -75,6 +77,38 @@ def export_jsonl(records: DataFrame, frags: DataFrame, path: str) -> None:
     export_rows(records, frags).write.mode("errorifexists").json(path)
 
 
+def export_audit(records: DataFrame, frags: DataFrame, path: str) -> None:
+    audit_lines(records, frags).orderBy("chunk_id").select("value").write.mode("errorifexists").text(path)
+
+
+def get_record(records: DataFrame, ids: DataFrame, column: str = "record_id") -> DataFrame:
+    """Each asked id with its record; a malformed id finds none."""
+    held = records.withColumnsRenamed({c: f"r_{c}" for c in records.columns}).withColumn("_id", norm_id("r_record_id")).dropDuplicates(["_id"])
+    return ids.withColumn("_key", uuid_key(column)).join(held, F.col("_key") == F.col("_id"), "left").drop("_key", "_id")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file on whatever file system the path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def audit_lines(records: DataFrame, frags: DataFrame) -> DataFrame:
+    """(chunk_id, value): for each fragment with records its text, then every record with its span, values and the result
+    of cutting the span anew, in order of place; made on executors, a row for each fragment."""
+    shown = lambda name, c: F.concat(F.lit(f"    {name}: "), F.nullif(c, F.lit("")))
+    head = F.format_string("  [%s / %s / %s] offsets %d..%d, slice %s", "record_type", "tier", "verdict", "char_start", "char_end", "slice_check")
+    line = F.concat_ws("\n", head, shown("span", F.to_json(F.array("evidence_span"))), shown("actor", F.col("actor")), shown("event_date", F.col("event_date")), shown("fields", F.nullif(F.col("fields"), F.lit("{}"))), shown("relevance", F.col("claim_relevance")))
+    rows = export_rows(records, frags).select(norm_id("source_chunk_id").alias("chunk_id"), F.struct("char_start", "record_id", line.alias("line")).alias("r"), "page", "document")
+    each = rows.groupBy("chunk_id").agg(F.array_sort(F.collect_list("r")).alias("rs"), F.first("page", True).alias("page"), F.first("document", True).alias("document"))
+    texts = frags.select("chunk_id", F.col("text").alias("_t"))
+    title = F.concat(F.lit("FRAGMENT "), F.col("chunk_id"), F.lit(" page "), F.coalesce(F.col("page").cast("string"), F.lit("-")), F.lit(", "), F.coalesce("document", F.lit("-")), F.lit(", "), F.size("rs").cast("string"), F.lit(" records"))
+    value = F.concat_ws("\n", title, F.lit("-" * 80), F.coalesce("_t", F.lit("")), F.lit("-" * 80), F.array_join(F.transform("rs", lambda r: r["line"]), "\n"), F.lit("=" * 80))
+    return each.join(texts, "chunk_id", "left").select("chunk_id", value.alias("value"))
+
+
 def table_counts(tables: dict[str, DataFrame]) -> dict[str, int | str]:
     """Rows of each table; a table that can't be read says so."""
     out: dict[str, int | str] = {}
@@ -92,6 +126,7 @@ def assert_isolated(before: dict, after: dict) -> None:
 
 
 def scorecards(spark: SparkSession, pattern: str, columns: list[str]) -> DataFrame:
-    """All scorecards of a folder; a column that an older card lacks is null, not 0."""
-    df = spark.read.option("recursiveFileLookup", "true").json(pattern)
-    return df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in columns])
+    """All scorecards of a folder; a count that an older card lacks is 0."""
+    df = spark.read.option("multiLine", "true").json(pattern)
+    kinds = dict(df.dtypes)
+    return df.select(*[F.coalesce(F.col(c), F.lit(0).cast(kinds[c])).alias(c) if kinds.get(c) in ("bigint", "double", "boolean") else F.col(c) if c in kinds else F.lit(0).alias(c) for c in columns])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundmill.operators.entities import resolve_or_create
@@ -19,13 +19,17 @@ def once(proposals: DataFrame, key: str, late: str = "1 day", time: str = "at")
     return proposals.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
 
 
-def entity_upsert(path: str):
-    """A foreachBatch function that merges the surfaces of a batch into the entities at ``path``, written beside and
-    read by version: batch n reads version n - 1, so a batch that is run again gives the same."""
+def entity_log(path: str):
+    """A foreachBatch function that appends the distinct surfaces of a batch under ``path``; a batch that is run again overwrites
+    its own folder only. What was written before is never rewritten: ``entities_of`` folds it when it is read."""
 
     def run(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        old = spark.read.parquet(f"{path}/v{n - 1}") if n > 0 else None
-        resolve_or_create(batch, old).write.mode("overwrite").parquet(f"{path}/v{n}")
+        first = batch.groupBy("entity_type", "surface").agg(F.min(F.struct("ordinal", "record_id")).alias("f"))
+        first.select("entity_type", "surface", "f.record_id", "f.ordinal").write.mode("overwrite").parquet(f"{path}/batch={n}")
 
     return run
+
+
+def entities_of(spark: SparkSession, path: str, existing: DataFrame | None = None) -> DataFrame:
+    """Entities of every batch of ``entity_log`` so far."""
+    return resolve_or_create(spark.read.parquet(path).drop("batch"), existing)

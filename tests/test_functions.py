@@ -149,9 +149,9 @@ def test_judge_sees_survivors_only_and_once(spark):
     calls = spark.sparkContext.accumulator(0)
 
     def connect():
-        def client(prompt):
+        def client(system, prompt):
             calls.add(1)
-            return '{"verdict": "grounded"}'
+            return '{"verdict": "grounded"}', 3
 
         return client
 
@@ -162,12 +162,33 @@ def test_judge_sees_survivors_only_and_once(spark):
 
 def test_failing_client_is_a_row(spark):
     def connect():
-        def client(prompt):
+        def client(system, prompt):
             if prompt == "3":
                 raise TimeoutError("late")
-            return "no verd"
+            return "no verd", 2
 
         return client
 
-    out = judges.completed(spark.range(5).withColumn("p", F.col("id").cast("string")), F.col("p"), connect).collect()
+    out = judges.completed(spark.range(5).withColumn("p", F.col("id").cast("string")), "s", F.col("p"), connect).collect()
     assert [r["answer_error"] for r in out if r["id"] == 3] == ["TimeoutError: late"] and sum(r["answer_error"] is None for r in out) == 4
+
+
+@pytest.mark.parametrize(("answer", "fine"), [('{"verdict": "Grounded "}', True), ('{"verdict": "maybe"}', False), ('so {"verdict": "partial"} it is', True), ('{"verdict": "groun', False), ("[1]", False), ("", False), (None, False), ('{"failing_values": "verdict"}', False)])
+def test_what_is_asked_once_more(spark, answer, fine):
+    assert judges.readable(answer) == fine
+    row = spark.createDataFrame([(answer,)], "a string").select(jsonx.judge_answer("a").alias("j")).head()
+    assert (row["j"]["verdict"] is not None) == fine
+
+
+@pytest.mark.parametrize("owned", ["evidence_span", "page", "document", "provenance_validation", "source_sha256", "evidence_sha256", "source_chunk_id"])
+def test_columns_of_code_are_refused(spark, owned):
+    base = '"record_type": "t", "tier": "fact", "char_start": 0, "char_end": 1'
+    rows = [(0, f'{{{base}, "{owned}": null}}'), (1, f'{{{base}, "{owned}": "x"}}'), (2, f'{{{base}, "record_id": "r", "flagged": true, "created": 1}}'), (3, f'{{{base}, "fields": null}}')]
+    got = {r["i"]: r["reason_code"] for r in grounding.validate(grounding.begin(spark.createDataFrame(rows, "i int, payload string"))).collect()}
+    assert got == {0: "schema_invalid", 1: "schema_invalid", 2: None, 3: "schema_invalid"}
+
+
+def test_keywords_that_say_nothing(spark):
+    words = ["the", "N/A", "none", "-", " Lump  Sum ", "x", "with", "it"]
+    df = spark.createDataFrame([(words,)], "w array<string>")
+    assert df.select(jsonx.cleaned_keywords("w").alias("k")).head()["k"] == ["it", "lump sum", "with"]

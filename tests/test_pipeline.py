@@ -1,11 +1,11 @@
 import datetime as dt
 import random
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from groundmill.operators import entities, events, grounding, judges, passes, scoring
+from groundmill.common import ensure_checkpoint_dir, running
+from groundmill.operators import entities, events, grounding, judges, passes, ranking, scoring
 from groundmill.sources import corpus, sinks
 from groundmill.streaming import attempts
 from groundmill.tools import Tools
@@ -68,7 +68,7 @@ def test_tools(spark, frags):
     assert t.write_enrichment(base | {"evidence_span": "x"})["reason_code"] == "schema_invalid"
     link = {"record_a": "11111111-aaaa-0000-0000-000000000000", "record_b": "{22222222-AAAA-0000-0000-000000000000}", "relation": "causes", "tier": "interpretation", "evidence": {"a_span": [0, 10], "b_span": [0, 12]}, "rationale": "r"}
     got = t.link_events(link)
-    assert got["ok"] and len(got["a_source_sha256"]) == 64
+    assert got["ok"] and len(got["provenance_validation"]["a_source_sha256"]) == 64
     assert t.link_events(link | {"record_a": "x"})["reason_code"] == "unknown_record"
 
 
@@ -118,10 +118,10 @@ def test_entities(spark):
     rows = [("actor", "B. Smith", "r1", 1), ("actor", "B. Smith  ", "r2", 2), ("actor", " B.  Smith", "r0", 3), ("actor", " ", "r9", 0), ("date", " 2025 ", "r1", 1), ("actor", None, "r", 1)]
     s = spark.createDataFrame(rows, "entity_type string, surface string, record_id string, ordinal int")
     got = {(r["entity_type"], r["canonical"]): (r["first_seen_record"], r["aliases"]) for r in entities.resolve_or_create(s).collect()}
-    assert got == {("actor", "B. Smith"): ("r1", ["B. Smith  ", " B.  Smith"]), ("date", "2025"): ("r1", [" 2025 "])}
+    assert got == {("actor", "B. Smith"): ("r1", ["B. Smith  ", " B.  Smith"]), ("date", "2025"): ("r1", [" 2025 "]), ("actor", ""): ("r9", [" "])}
     old = spark.createDataFrame([("e1", "actor", "B. Smith", ["Bob"], None), ("e2", "actor", "Z", None, "q")], "entity_id string, entity_type string, canonical string, aliases array<string>, first_seen_record string")
     merged = {r["canonical"]: r for r in entities.resolve_or_create(s, old).collect()}
-    assert merged["B. Smith"]["entity_id"] == "e1" and merged["B. Smith"]["aliases"] == ["Bob", "B. Smith  ", " B.  Smith"] and merged["Z"]["aliases"] == [] and len(merged) == 3
+    assert merged["B. Smith"]["entity_id"] == "e1" and merged["B. Smith"]["aliases"] == ["Bob", "B. Smith  ", " B.  Smith"] and merged["Z"]["aliases"] == [] and len(merged) == 4
 
 
 def test_scores(spark):
@@ -185,14 +185,60 @@ def test_streams(spark, tmp_path):
     assert spark.table("once").count() == 2
     attempts.heartbeat(stream).writeStream.outputMode("complete").format("memory").queryName("beat").trigger(availableNow=True).start().awaitTermination()
     assert sorted((r["attempts"], r["accepted"]) for r in spark.table("beat").collect()) == [(1, 0), (2, 2)]
-    stream.writeStream.foreachBatch(attempts.entity_upsert(str(tmp_path / "e"))).trigger(availableNow=True).start().awaitTermination()
-    assert {r["canonical"]: r["aliases"] for r in spark.read.parquet(str(tmp_path / "e/v0")).collect()} == {"A": ["A "], "B": []}
+    stream.writeStream.foreachBatch(attempts.entity_log(str(tmp_path / "e"))).trigger(availableNow=True).start().awaitTermination()
+    assert {r["canonical"]: r["aliases"] for r in attempts.entities_of(spark, str(tmp_path / "e")).collect()} == {"A": ["A "], "B": []}
+    # a later batch that adds a spelling, run twice, changes nothing that is written
+    late = spark.createDataFrame([("p3", t0, True, "actor", " A", "r0", 9)], schema)
+    for _ in range(2):
+        attempts.entity_log(str(tmp_path / "e"))(late, 7)
+    assert {r["canonical"]: r["aliases"] for r in attempts.entities_of(spark, str(tmp_path / "e")).collect()} == {"A": ["A ", " A"], "B": []}
 
 
 def test_rank(spark):
-    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [2.0, 0.0])], "id int, v array<float>")
-    got = scoring.rank_by_cosine(rows, "id", "v", F.col("id") == 1, k=2).collect()
-    assert [(r["id"], r["rank"]) for r in got] == [(1, 1), (3, 2)] and isinstance(got, list) and pd is not None
+    v = {1: [1.0, 0.0], 2: [1.0, 1.0], 3: [2.0, 0.0], 4: None, 5: [], 6: [0.0, 0.0], 7: [1.0, 0.0, 0.0], 8: [float("nan"), 1.0], 100: [3.0, 0.1]}
+    rows = spark.createDataFrame([(i, x) for i, x in v.items()] + [(3, v[3])], "id int, v array<float>")
+    got = ranking.rank_by_cosine(rows.filter("id IN (1, 4, 100)"), rows, "id", "v", 3).orderBy("query", "rank").collect()
+    assert [(r["query"], r["id"], r["rank"]) for r in got] == [(1, 1, 1), (1, 3, 2), (1, 100, 3), (100, 100, 1), (100, 1, 2), (100, 3, 3)]
+    assert ranking.rank_by_cosine(rows.limit(0), rows, "id", "v", 3).count() == 0
+
+
+def test_running_sums_of_a_hot_group(spark):
+    rows = [(None if i % 7 == 0 else "hot" if i % 3 else "g", i, i % 5) for i in range(900)]
+    df = spark.createDataFrame(rows, "g string, i int, x int").repartition(6)
+    got = {(r["g"], r["i"]): (r["n"], r["total"]) for r in running(df, ["g"], ["i"], {"n": F.lit(1), "total": F.col("x")}).collect()}
+    for g in (None, "hot", "g"):
+        total = 0
+        for n, (_, i, x) in enumerate(sorted(r for r in rows if r[0] == g), 1):
+            total += x
+            assert got[g, i] == (n, total)
+
+
+def test_rounding_is_pythons(spark):
+    xs = [1 / 32, 3 / 32, 1 / 20000, 0.00015, 2.675, 0.5, 1.00005, 2 / 3, 0.0, 1.0, 86 / 99, 0.12345, 0.99995]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", scoring.half_even(F.col("x"), 4).alias("a"), scoring.half_even(F.col("x"), 2).alias("b")).collect()
+    assert all((r["a"], r["b"]) == (round(r["x"], 4), round(r["x"], 2)) for r in got)
+
+
+def test_ids_in_one_form(spark, frags):
+    one = IDS[0]
+    for spelled in (one.upper(), "{" + one + "}", "urn:uuid:" + one, one.replace("-", ""), f"  {one} "):
+        assert corpus.lookup(spark.createDataFrame([(spelled,)], "chunk_id string"), frags).head()["found"], spelled
+    assert not corpus.lookup(spark.createDataFrame([(one[:-1],)], "chunk_id string"), frags).head()["found"]
+
+
+def test_many_page_ranges(spark, frags):
+    names = spark.createDataFrame([(f"f{i}_1-{10**9}.pdf",) for i in range(100_050)] + [("g_5-2.pdf",), ("h.pdf",)], "name string")
+    pages = frags.filter("page >= 1").count()
+    assert corpus.in_file_pages(frags, names).count() == 100_050 * pages and pages > 0
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace as N
+
+    none = N(isDefined=lambda: False)
+    fake = N(sparkContext=N(_jsc=N(sc=lambda: N(getCheckpointDir=lambda: none)), getConf=lambda: {}, master="spark://host:7077"), conf={})
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(fake)
 
 
 REFS = "record_id string, source_chunk_id string, entity_refs array<struct<role:string,entity_id:string,entity_type:string,canonical:string>>"

@@ -111,3 +111,21 @@ def test_zone_abbreviations(zone):
     got = T.zone_abbreviations([zone, "No/Where"])
     summer = dt.datetime(2024, 7, 1, tzinfo=zoneinfo.ZoneInfo(zone))
     assert got[f"{zone}|{summer.tzname()}"] == summer.utcoffset().total_seconds()
+
+
+def test_the_mixture_reaches_its_fixed_point():
+    # nearly all values are ambiguous: plain rounds would need thousands
+    counts = pd.DataFrame({"source": "o", "shape": ["9/9/9", "99/9/9", "9/99/9"], "mdy": [True, False, True], "dmy": [True, True, False], "n": [1_000_000, 1, 12], "declared": None})
+    out = T._em(counts)
+    assert abs(out["theta_mdy"].iloc[0] - 12.5 / 14) < 1e-6 and abs(out["p_mdy"].iloc[0] - 12.5 / 14) < 1e-6
+    only = T._em(counts.assign(declared="DMY"))
+    assert only["p_mdy"].iloc[0] == 0 and not only["readable"].iloc[2]
+
+
+def test_half_hours_and_long_shapes(spark):
+    offices = spark.createDataFrame([("LHI", "Australia/Lord_Howe", "DMY")], OFFICE_SCHEMA)
+    long = "1/2/2024 10:00:00." + "1" * 60
+    rows = spark.createDataFrame([("2024-04-07 01:45", "LHI"), ("2024-04-07 03:00", "LHI"), (long, "LHI"), ("z" * 5000, "LHI")], "event_date string, office string")
+    got = {r["event_date"]: r for r in T.normalise_times(rows, offices).collect()}
+    assert got["2024-04-07 01:45"]["ambiguity"] == "repeated_hour" and got["2024-04-07 01:45"]["event_norm"] == "2024-04-06T14:45:00.000000Z"
+    assert got["2024-04-07 03:00"]["ambiguity"] == "none" and got[long]["event_norm"] == "2024-01-31T23:00:00.111111Z" and got["z" * 5000]["event_norm"] is None
