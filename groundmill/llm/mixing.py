@@ -1,9 +1,10 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-Every source is cut into shards and every shard into blocks of equal tokens. Seats (blocks of the mix) go to
-sources by the highest quotients share / (2 * seats + 1), a source leaving when its blocks are used as
-often as ``max_repeats`` allows; a source's seats go to its shards in the same way, giving integer quotas.
-A seeded order picks the blocks of a shard.
+The documents of a source stand in a seeded order, cut into shards, and a shard's run of tokens into blocks of equal
+tokens. Seats (blocks of the mix) go to sources by the highest quotients share / (2 * seats + 1), a source leaving when its
+blocks are used as often as ``max_repeats`` allows; a source's seats go to its shards in the same way, giving integer quotas.
+A shard gives its quota of blocks as an arc of its ring from a seeded place on, whole rounds first; a document goes with the
+block in which it begins. So a shard's tokens differ from its quota by the documents at the arc's two ends at most.
 
 Defined cases: sources without target, null sources and documents without tokens are left out (share 0 in the
 report); a target without documents reaches 0 and its share goes to the others in proportion; repeated
@@ -12,8 +13,6 @@ documents are what they are; an empty table gives a report of zeros and an empty
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -24,49 +23,44 @@ from groundmill.common import durable
 #: Tokens of a block, and blocks a shard should hold.
 BLOCK_TOKENS = 256
 BLOCKS_PER_SHARD = 4096
+#: Shards whose quotas one task works out; seats go to such groups first.
+SHARDS_PER_GROUP = 50_000
 #: The table of targets is a small dimension: more rows are refused, not collected.
 MAX_TARGETS = 100_000
 
 
 def sainte_lague(weights: np.ndarray, caps: np.ndarray, seats: int) -> np.ndarray:
     """Seats by highest quotients weight / (2 * seats + 1), none above its cap; ties go to the first.
-    Most seats are given at once from the exact proportion, the rest one by one."""
-    w, caps = np.asarray(weights, float), np.asarray(caps, np.int64)
+
+    The quotient of the last seat is found by bisection: above it every party has a number of seats at once. What is left
+    are seats of equal quotients, one for a party at most. Time grows with the parties, not with the seats."""
+    w, caps = np.maximum(np.asarray(weights, float), 0), np.asarray(caps, np.int64)
+    caps = np.where(w > 0, caps, 0)
+    seats = int(min(seats, caps.sum()))
     got = np.zeros(len(w), np.int64)
-    seats = int(min(seats, caps[w > 0].sum()))
-    while seats > 0:
-        live = (w > 0) & (got < caps)
-        left = seats - got.sum()
-        if left <= 0:
+    if seats <= 0:
+        return got
+
+    def at(q: float) -> np.ndarray:
+        """Seats with quotients of ``q`` or more."""
+        n = np.minimum(np.floor((w / q + 1) / 2), caps).astype(np.int64)
+        n -= (n > 0) & (w / np.maximum(2 * n - 1, 1) < q)  # where the division was rounded over an edge
+        return n + ((n < caps) & (w / (2 * n + 1) >= q))
+
+    low, high = w[w > 0].min() / (2.0 * caps.max() + 1), np.nextafter(w.max(), np.inf)
+    while True:
+        mid = low + (high - low) / 2
+        if not low < mid < high:
             break
-        open_seats = seats - got[~live].sum()
-        quota = np.where(live, w, 0) / w[live].sum() * open_seats
-        capped = live & (quota >= caps + len(w))
-        if capped.any():  # a cap so far under the quota is reached whatever the others do
-            got[capped] = caps[capped]
-            continue
-        # the method never falls short of the exact quota by as much as the number of parties
-        got = np.where(live, np.maximum(got, np.minimum(np.floor(quota).astype(np.int64) - len(w), caps)), got)
-        left = seats - got.sum()
-        heap = [(-w[i] / (2 * got[i] + 1), i) for i in np.flatnonzero(live)]
-        heapq.heapify(heap)
-        while left > 0 and heap:
-            _, i = heapq.heappop(heap)
-            got[i] += 1
-            left -= 1
-            if got[i] < caps[i]:
-                heapq.heappush(heap, (-w[i] / (2 * got[i] + 1), i))
-        break
+        low, high = (mid, high) if at(mid).sum() >= seats else (low, mid)
+    got = at(high)
+    left = seats - int(got.sum())
+    if left > 0:
+        next_ = np.where(got < caps, w / (2 * got + 1), -1.0)
+        got[np.argsort(-next_, kind="stable")[:left]] += 1
     return got
 
 
-def _blocks(sized: DataFrame, shards: int, block_tokens: int, seed: int) -> DataFrame:
-    """Each document with the block of its shard in which it begins, in a seeded order."""
-    placed = sized.withColumns({"shard": F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(shards)).cast("int"), "_order": F.xxhash64(F.lit(seed), "doc_id")})
-    before = Window.partitionBy("source", "shard").orderBy("_order", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn("block", F.floor(F.coalesce(F.sum("n_tokens").over(before), F.lit(0)) / block_tokens).cast("bigint")).drop("_order")
-
-
 def mix(sized: DataFrame, targets: DataFrame, total_tokens: int | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = 17) -> tuple[DataFrame, DataFrame]:
     """(documents with ``copies``, report of shares). ``sized`` has doc_id, source, n_tokens.
 
@@ -83,28 +77,35 @@ def mix(sized: DataFrame, targets: DataFrame, total_tokens: int | None = None, b
     scale = sum(share[s] for s in have) or 1.0
     if total_tokens is None:
         total_tokens = int(min((stock[s] * repeats[s] / (share[s] / scale) for s in have), default=0))
-    shards = max(1, -(-sum(stock.values()) // (block_tokens * BLOCKS_PER_SHARD)))
-    blocks = durable(_blocks(wanted, shards, block_tokens, seed))
-    per_block = blocks.groupBy("source", "shard", "block").agg(F.sum("n_tokens").alias("tokens"))
-    per_shard = durable(per_block.groupBy("source", "shard").agg(F.sum("tokens").alias("tokens")))
-    seats = sainte_lague(np.array([share[s] for s in have]), np.array([stock[s] * repeats[s] // block_tokens for s in have]), round(total_tokens / block_tokens)) if have else []
-    quota = {s: int(g) for s, g in zip(have, seats, strict=True)}
+    shards = {s: max(1, -(-stock[s] // (block_tokens * BLOCKS_PER_SHARD))) for s in have}
+    groups = {s: max(1, -(-shards[s] // SHARDS_PER_GROUP)) for s in have}
+    of = lambda d: F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in d.items() for x in kv]), F.col("source")), F.lit(1)) if d else F.lit(1)
+    placed = wanted.withColumns({"shard": F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), of(shards)).cast("int"), "_order": F.xxhash64(F.lit(seed), "doc_id")})
+    before = Window.partitionBy("source", "shard").orderBy("_order", "doc_id").rowsBetween(Window.unboundedPreceding, -1)  # a shard is bounded
+    placed = durable(placed.withColumn("block", F.floor(F.coalesce(F.sum("n_tokens").over(before), F.lit(0)) / block_tokens)).drop("_order"))
+    per_shard = durable(placed.groupBy("source", "shard").agg(F.sum("n_tokens").alias("held")).withColumn("part", F.pmod("shard", of(groups)).cast("int")))
+    parts = per_shard.groupBy("source", "part").agg(F.sum("held").alias("held"), F.sum(F.ceil(F.col("held") / block_tokens)).alias("blocks")).orderBy("source", "part").collect()  # a row for SHARDS_PER_GROUP shards
+    blocks = {s: sum(p["blocks"] for p in parts if p["source"] == s) for s in have}
+    seats = sainte_lague(np.array([share[s] for s in have]), np.array([blocks[s] * repeats[s] for s in have]), round(total_tokens / block_tokens)) if have else []
+    quota: dict[tuple[str, int], int] = {}
+    for s, n in zip(have, seats, strict=True):
+        mine = [p for p in parts if p["source"] == s]
+        given = sainte_lague(np.array([p["held"] for p in mine]), np.array([p["blocks"] * repeats[s] for p in mine]), int(n))
+        quota |= {(s, p["part"]): int(g) for p, g in zip(mine, given, strict=True)}
 
     def to_shards(of: pd.DataFrame) -> pd.DataFrame:
         s = of["source"].iloc[0]
         of = of.sort_values("shard", ignore_index=True)
-        tokens = of["tokens"].to_numpy(np.int64)
-        q = sainte_lague(tokens, -(-tokens * repeats[s] // block_tokens), quota[s])
-        return pd.DataFrame({"source": of["source"], "shard": of["shard"], "quota": np.minimum(q * block_tokens, tokens * repeats[s]), "held": tokens})
-
-    quotas = per_shard.groupBy("source").applyInPandas(to_shards, "source string, shard int, quota bigint, held bigint")
-    # blocks differ a little, as documents stay whole: the seeded order is followed to the quota's tokens
-    pick = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 2), "source", "shard", "block"), "block").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = per_block.withColumn("before", F.coalesce(F.sum("tokens").over(pick), F.lit(0))).join(quotas, ["source", "shard"])
-    full = F.floor(F.col("quota") / F.col("held"))
-    copies = (full + (F.col("before") + F.col("tokens") / 2 <= F.col("quota") - full * F.col("held")).cast("int")).cast("int")
-    chosen = ranked.select("source", "shard", "block", copies.alias("copies")).filter("copies > 0")
-    mixed = durable(blocks.join(chosen, ["source", "shard", "block"]).select("doc_id", "source", "n_tokens", "copies"))
+        held = of["held"].to_numpy(np.int64)
+        blocks = -(-held // block_tokens)
+        return pd.DataFrame({"source": of["source"], "shard": of["shard"], "quota": sainte_lague(held, blocks * repeats[s], quota[s, int(of["part"].iloc[0])]), "blocks": blocks})
+
+    quotas = per_shard.groupBy("source", "part").applyInPandas(to_shards, "source string, shard int, quota bigint, blocks bigint")
+    start = F.pmod(F.xxhash64(F.lit(seed + 2), "source", "shard"), F.col("blocks"))
+    whole = F.floor(F.col("quota") / F.col("blocks"))
+    in_arc = F.pmod(F.col("block") - start, F.col("blocks")) < F.col("quota") - whole * F.col("blocks")
+    chosen = placed.join(quotas, ["source", "shard"]).withColumn("copies", (whole + in_arc.cast("int")).cast("int")).filter("copies > 0")
+    mixed = durable(chosen.select("doc_id", "source", "n_tokens", "copies"))
     return mixed, shares(mixed, sized, targets)
 
 

@@ -3,7 +3,9 @@
 A name is read into parts (given name, middle initials, surname or the distinctive word of an organisation,
 generation, kind of business). Distinct surnames are joined by a pigeonhole segment join: each is cut
 into k + 1 segments, position-shifted substrings of the others are looked up in the inverted index of segments,
-and candidates are verified with a banded edit distance (with transpositions). Names whose parts agree are
+and candidates are verified with a banded edit distance (with transpositions). k is the tolerance of the longer of two
+keys, so a key is indexed under each that can apply. A transposition over a cut would break two segments; so there are as
+many cuts without common places as transpositions are possible, and one more. The join misses no pair within tolerance. Names whose parts agree are
 linked; links are consolidated by the grid union-find. An initial or an abbreviation stands for a person only
 where one person fits, in the whole collection or else in the same context (claim).
 
@@ -53,8 +55,9 @@ for _line in NICKNAMES.replace("\n", " ").split(";"):
     for _n in _short:
         _FORMAL.setdefault(_n, set()).add(_formal)
 
-#: Given names learned from the collection: at least so many names begin with one; most kept.
-GIVEN_LEAST, GIVEN_MOST = 5, 5000
+#: Given names learned from the collection: at least so many names begin with one. They are broadcast, so more than
+#: GIVEN_MOST are refused with an error, never cut.
+GIVEN_LEAST, GIVEN_MOST = 5, 1_000_000
 PLACE = "entity", "record"
 PARTS = "kind string, key string, given string, gtype string, middle string, gen string, rest string, inits array<string>"
 _COLUMNS = [x.split()[0] for x in PARTS.split(", ")]
@@ -207,31 +210,42 @@ def tolerance(length: int) -> int:
     return 0 if length < 4 else 1 if length < 8 else 2
 
 
-def segments(length: int, parts: int) -> list[tuple[int, int]]:
-    """(start, length) of even segments; the later ones are longer by one."""
+@functools.lru_cache(4096)
+def cuts(length: int, parts: int, ways: int) -> tuple[tuple[tuple[int, int], ...], ...]:
+    """``ways`` cuts of a key into ``parts`` segments (start, length), no two with a common place. The first is even, the
+    others move its places by one either way."""
     short, extra = divmod(length, parts)
-    out, at = [], 0
-    for i in range(parts):
-        n = short + (i >= parts - extra)
-        out.append((at, n))
-        at += n
-    return out
+    even = [i * short + max(0, i - (parts - extra)) for i in range(parts + 1)]
+    out = []
+    for shift in (0, 1, -1)[:ways]:
+        if parts == 2 and even[1] + shift >= length:
+            shift = -1
+        at = [0, *(x + shift for x in even[1:-1]), length]
+        out.append(tuple((a, b - a) for a, b in zip(at, at[1:], strict=False)))
+    return tuple(out)
 
 
 def index_terms(key: str) -> list[str]:
-    return [f"{len(key)}|{i}|{key[s : s + n]}" for i, (s, n) in enumerate(segments(len(key), tolerance(len(key)) + 1))]
+    """Segments of the key for partners that are not shorter: under every tolerance that the longer key can have, in as many
+    ways as transpositions are left beside the difference in length."""
+    size, ways = len(key), {}
+    for more in range(3):
+        k = tolerance(size + more)
+        if more <= k:
+            ways[k] = max(ways.get(k, 0), 1 + k - more)
+    return [f"{size}|{k}|{j}|{i}|{key[s : s + n]}" for k, w in ways.items() for j, cut in enumerate(cuts(size, k + 1, w)) for i, (s, n) in enumerate(cut)]
 
 
 def probe_terms(key: str) -> list[str]:
     """Substrings of the probe that can equal a segment of a key that is not longer."""
     out, size = set(), len(key)
-    for length in range(max(1, size - 2), size + 1):
-        k = tolerance(size)
-        if size - length > k:
-            continue
-        for i, (s, n) in enumerate(segments(length, tolerance(length) + 1)):
-            for p in range(max(0, s - k), min(size - n, s + k) + 1):
-                out.add(f"{length}|{i}|{key[p : p + n]}")
+    k = tolerance(size)
+    for more in range(min(k, size - 1) + 1):
+        length = size - more
+        for j, cut in enumerate(cuts(length, k + 1, 1 + k - more)):
+            for i, (s, n) in enumerate(cut):
+                for p in range(max(0, s - k), min(size - n, s + k) + 1):
+                    out.add(f"{length}|{k}|{j}|{i}|{key[p : p + n]}")
     return sorted(out)
 
 
@@ -322,9 +336,18 @@ def relation(p: dict, q: dict, dist: int, known: dict[str, int]) -> str | None:
     return "vague"
 
 
+def deletions(word: str, most: int = 2) -> set[str]:
+    """The word with up to ``most`` letters left out."""
+    out = front = {word}
+    for _ in range(most):
+        front = {w[:i] + w[i + 1 :] for w in front for i in range(len(w))}
+        out = out | front
+    return out
+
+
 def learn_given(names: DataFrame) -> dict[str, int]:
     """Given names of the collection: words that stand first in far more names than last. Misspellings of a much
-    commoner one are left out. A bounded model: at most GIVEN_MOST words."""
+    commoner one (two edits at most) are left out."""
 
     def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batches:
@@ -342,14 +365,27 @@ def learn_given(names: DataFrame) -> dict[str, int]:
             yield pd.DataFrame([(w, s) for w, s in rows if len(w) > 2 and not w.endswith(".")], columns=["word", "side"])
 
     score = names.mapInPandas(ends, "word string, side int").groupBy("word").agg(F.sum("side").alias("score")).filter(F.col("score") >= GIVEN_LEAST)
-    top = {r["word"]: int(r["score"]) for r in score.orderBy(F.desc("score"), "word").limit(GIVEN_MOST).collect()}
-    words = list(top)
-    kept = dict(top)
-    for i, w in enumerate(words):
-        larger = [v for v in words[:i] if top[v] >= 10 * top[w] and abs(len(v) - len(w)) <= 2]
-        if larger and edit_distance(larger, [w] * len(larger), 2).min() <= 2:
-            del kept[w]
-    return kept
+    score = durable(score)
+
+    def shortened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for t in batches:
+            t["cut"] = [sorted(deletions(w)) for w in t["word"]]
+            yield t.explode("cut")
+
+    # words within two edits have a common form with two letters or fewer left out
+    cut = score.mapInPandas(shortened, "word string, score bigint, cut string")
+    rare = cut.select("cut", F.col("word").alias("b"), F.col("score").alias("few"))
+    pairs = cut.join(rare, "cut").filter((F.col("score") >= 10 * F.col("few")) & (F.col("word") != F.col("b"))).select(F.col("word").alias("a"), "b").distinct()
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for t in batches:
+            yield t[edit_distance(t["a"].tolist(), t["b"].tolist(), 2) <= 2][["b"]]
+
+    slips = pairs.mapInPandas(near, "b string").distinct()
+    kept = score.join(slips, F.col("word") == F.col("b"), "left_anti").limit(GIVEN_MOST + 1).collect()
+    if len(kept) > GIVEN_MOST:
+        raise ValueError(f"more than {GIVEN_MOST} given names")
+    return {r["word"]: int(r["score"]) for r in kept}
 
 
 def link_names(mentions: DataFrame) -> DataFrame:
