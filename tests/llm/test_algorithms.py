@@ -100,6 +100,39 @@ def test_scan_abandons_nothing_near():
     assert len(a) >= 0.98 * len(want) and set(zip(a, b, strict=True)) <= set(map(tuple, want))
 
 
+def test_bound_of_its_own_for_each_query():
+    rng = np.random.default_rng(5)
+    x = vectors.unit(rng.standard_normal((600, 64)))
+    want = np.argsort(-(x @ x.T), axis=1)[:, 1:6]
+    for eps, least in ((vectors.EPS, 0.95), (None, 1.0)):
+        a, b, cos = vectors.scan(x, x, -1.0, vectors.rotation(64), 5, eps=eps)
+        got = {i: set() for i in range(600)}
+        for i, j, c in sorted(zip(a.tolist(), b.tolist(), cos.tolist(), strict=True), key=lambda t: -t[2]):
+            if i != j and len(got[i]) < 5:
+                got[i].add(j)
+        assert sum(len(got[i] & set(w.tolist())) for i, w in enumerate(want)) >= least * want.size
+        assert len(a) < 0.9 * 600 * 600  # most pairs are abandoned though no cosine is too small
+
+
+def test_lists_grow_with_the_root():
+    assert vectors.lists_for(100, 8) == 1 and vectors.lists_for(100_000, 8) == 400 and vectors.lists_for(10**9, 8) < 90_000
+    rng = np.random.default_rng(2)
+    x = vectors.unit(np.repeat(rng.standard_normal((60, 16)), 30, 0) + 0.2 * rng.standard_normal((1800, 16)))
+    c = vectors.fit_centres(x, 60, flat=10)
+    assert 40 <= len(c) <= 60 and (x @ c.T).max(1).mean() > 0.9
+
+
+def test_exact_mode(spark):
+    rng = np.random.default_rng(3)
+    x = vectors.unit(rng.standard_normal((700, 24)))
+    df = spark.createDataFrame([(f"{i:04}", [float(v) for v in r]) for i, r in enumerate(x)], "id string, v array<float>")
+    y = vectors.unit(x.astype(np.float32))
+    cos = np.round(y @ y.T, 6)
+    want = {(f"{i:04}", f"{j:04}") for i in range(700) for j in sorted((j for j in range(700) if j != i), key=lambda j: (-cos[i, j], j))[:3]}
+    got = {(r["id"], r["other"]) for r in vectors.similar_vectors(df, "id", "v", 3, -1.0, probes=None, eps=None).collect()}
+    assert got == want
+
+
 # --- mixing ---
 
 

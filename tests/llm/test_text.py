@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -185,6 +186,19 @@ def make(rng, topics, lang):
     return " ".join(out)
 
 
+def test_words_and_sentences():
+    plain = lambda t: [[w for w in re.findall(r"[^\W\d_]+|\d+", s)] for s in re.split(r"\n+|(?<=[.!?])\s(?!a: )", t.lower()) if re.search(r"[^\W\d_]", s)]
+    texts = ["One two. Three 4 five!\nSix", None, "", "12 34. 5", "q: Why? A: Because it is so. End", "élan über_x 😀b 中文 a²", "x" * 200 + " y"]
+    u, v, s, doc = subjects.grams(texts)
+    want = [(d, sent) for d, t in enumerate(texts) if t for sent in plain(t)]
+    assert doc.tolist() == [d for d, _ in want] and np.bincount(s).tolist() == [len(x) for _, x in want]
+    ids: dict = {}
+    for word, i in zip((w for _, x in want for w in x), u.tolist(), strict=True):
+        assert ids.setdefault("0" if word.isdecimal() else word, i) == i
+    assert len(set(ids.values())) == len(ids)
+    assert subjects.grams(["b c"])[1].tolist()[1] == subjects.grams(["a\nb c"])[1].tolist()[2]  # pairs do not cross sentences
+
+
 def test_subjects(spark):
     rng = random.Random(4)
     docs, labels, truth = [], [], {}
