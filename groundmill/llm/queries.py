@@ -124,11 +124,18 @@ both_ways AS (SELECT a, b FROM good UNION SELECT b, a FROM good),
 reach(x, y) AS (SELECT a, a FROM both_ways UNION SELECT r.x, w.b FROM reach r JOIN both_ways w ON r.y = w.a),
 found AS (SELECT x AS record_id, min(y) AS group_id FROM reach GROUP BY x)
 """
+_P3 = f"""
+WITH m AS (SELECT DISTINCT ON (id) {_N('meaning_id')} AS id, embedding::DOUBLE[] AS v FROM enrichment_meaning WHERE len(embedding) = 64 AND list_max(embedding) - list_min(embedding) + abs(list_max(embedding)) > 0),
+c AS (SELECT a.id, b.id AS other, round(list_cosine_similarity(a.v, b.v), 6) AS cos FROM m a JOIN m b ON a.id <> b.id),
+near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY cos DESC, other) AS n FROM c) WHERE n <= 5 AND cos >= 0.8)
+"""
 QUERIES = {
     "p1_found": p1_found,
     "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p4_found": p4_found, "p4_sizes": p4_sizes, "p7_ids": p7_ids, "p7_counts": p7_counts, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_composition": p9_composition, "p6_found": p6_found, "p6_redacted": p6_redacted,
 }
 ORACLES = {
+    "p3_neighbours": _P3 + "SELECT id, other, cos FROM near",
+    "p3_found": _P3 + "SELECT DISTINCT least(id, other) AS meaning_a, greatest(id, other) AS meaning_b FROM near",
     "p4_found": _P4 + "SELECT * FROM found",
     "p4_sizes": _P4 + "SELECT records, count(*) AS groups FROM (SELECT group_id, count(*) AS records FROM found GROUP BY 1) GROUP BY 1",
 }
