@@ -386,7 +386,7 @@ def _attempts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("scorecard", _ATTEMPT_SQL + f""", {_EDGES}, s AS (SELECT DISTINCT ON (record_id) * FROM enrichment_records), t AS (SELECT count(*) AS proposals, count(*) FILTER (hit) AS located, count(*) FILTER (reason_code IS NULL) AS records, count(DISTINCT chunk_id) AS chunks_with_proposals, count(*) FILTER (hit) AS judged FROM a),
 u AS (SELECT count(*) AS stored, count(*) FILTER (provenance_validation.verdict = 'grounded') AS grounded, count(*) FILTER (flagged) AS flagged FROM s), x AS (SELECT count(*) AS cross_context_entities FROM (SELECT entity_id FROM e GROUP BY 1 HAVING count(DISTINCT chunk_id) >= 2))
-SELECT *, 0::BIGINT AS chunks_empty, proposals - located AS locate_miss, round(grounded / located, 4) AS pass_rate, round(stored / proposals, 4) AS yield_rate, round(chunks_with_proposals / 2.0, 2)::DOUBLE AS chunks_per_minute, round(stored / 2.0, 2)::DOUBLE AS records_per_minute, chunks_with_proposals AS chunks_seen, 120.0::DOUBLE AS wall_seconds FROM t, u, x""")
+SELECT *, 0::BIGINT AS chunks_empty, proposals - located AS locate_miss, round_even(grounded / located, 4) AS pass_rate, round_even(stored / proposals, 4) AS yield_rate, round_even(chunks_with_proposals / 2.0, 2)::DOUBLE AS chunks_per_minute, round_even(stored / 2.0, 2)::DOUBLE AS records_per_minute, chunks_with_proposals AS chunks_seen, 120.0::DOUBLE AS wall_seconds FROM t, u, x""")
 def scorecard(spark, d):
     r = _records(spark, d).withColumn("verdict", F.col("provenance_validation.verdict"))
     return scoring.scorecard(_attempts(spark, d), r, wall_s=120.0)
@@ -398,14 +398,14 @@ def chunk_counts(spark, d):
 
 
 @query("running_accept_rate", _ATTEMPT_SQL + """, c AS (SELECT chunk_id, any_value(fdoc) AS document, count(*) FILTER (reason_code IS NULL) AS grounded FROM a WHERE fdoc IS NOT NULL GROUP BY 1)
-SELECT document, chunk_id, count(*) OVER w AS done, (sum((grounded > 0)::INT) OVER w)::BIGINT AS accepted, round(sum((grounded > 0)::INT) OVER w / count(*) OVER w, 4) AS accept_rate FROM c WINDOW w AS (PARTITION BY document ORDER BY chunk_id ROWS UNBOUNDED PRECEDING)""")
+SELECT document, chunk_id, count(*) OVER w AS done, (sum((grounded > 0)::INT) OVER w)::BIGINT AS accepted, round_even(sum((grounded > 0)::INT) OVER w / count(*) OVER w, 4) AS accept_rate FROM c WINDOW w AS (PARTITION BY document ORDER BY chunk_id ROWS UNBOUNDED PRECEDING)""")
 def running_accept_rate(spark, d):
     a = _attempts(spark, d).filter("document IS NOT NULL")
     c = a.groupBy("document", "chunk_id").agg(F.count_if("ok").alias("grounded"))
     return scoring.running_accept_rate(c, ["chunk_id"], "document").select("document", "chunk_id", "done", "accepted", "accept_rate")
 
 
-@query("faithfulness", "WITH s AS (SELECT DISTINCT ON (record_id) * FROM enrichment_records) SELECT count(*) AS total, count(*) FILTER (provenance_validation.verdict = 'grounded') AS grounded, count(*) FILTER (NOT coalesce(provenance_validation.verdict = 'grounded', false)) AS ungrounded, round(count(*) FILTER (provenance_validation.verdict = 'grounded') / count(*), 4) AS rate FROM s")
+@query("faithfulness", "WITH s AS (SELECT DISTINCT ON (record_id) * FROM enrichment_records) SELECT count(*) AS total, count(*) FILTER (provenance_validation.verdict = 'grounded') AS grounded, count(*) FILTER (NOT coalesce(provenance_validation.verdict = 'grounded', false)) AS ungrounded, round_even(count(*) FILTER (provenance_validation.verdict = 'grounded') / count(*), 4) AS rate FROM s")
 def faithfulness(spark, d):
     return scoring.faithfulness(_records(spark, d).select((F.col("provenance_validation.verdict") == "grounded").alias("grounded")))
 
